@@ -291,7 +291,7 @@ def argmax_per_query(spark, sf):
     "similar_pairs",
     """WITH v AS (SELECT min(vec_id) AS id, count(*) AS copies, CAST(embedding AS DOUBLE[]) AS e
                   FROM embeddings GROUP BY embedding)
-       SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS similarity,
+       SELECT a.id AS a, b.id AS b, round(round(list_cosine_similarity(a.e, b.e), 9), 6) AS similarity,
               a.copies AS copies_a, b.copies AS copies_b
        FROM v a JOIN v b ON a.id < b.id WHERE round(list_cosine_similarity(a.e, b.e), 9) >= 0.3""",
 )
