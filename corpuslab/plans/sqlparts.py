@@ -164,7 +164,7 @@ def lemma_parts(source: str) -> str:
     for i, (suffix, replacement) in enumerate(NOUN_RULES, start=1):
         options.append(
             f"SELECT word, {i}, substr(word, 1, length(word) - {len(suffix)}) || '{replacement}' FROM lw"
-            f" WHERE ends_with(word, '{suffix}') AND length(word) > {len(suffix)}"
+            f" WHERE ends_with(word, '{suffix}')"
         )
     return (
         f"lw AS (SELECT DISTINCT word FROM {source}),\n"

@@ -25,20 +25,19 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_headlines(spark: SparkSession, path: str) -> DataFrame:
-    """Headlines; malformed lines are skipped.
+    """Headlines; lines with more or fewer fields than the header are skipped.
 
-    The source drops a line only when it has parsed every column, so the
-    schema is read whole and the column taken afterwards.
+    Column pruning is off for this read: with it, a line is parsed only as far
+    as the asked columns reach and a malformed one would pass.
     """
     rows = (
-        spark.read.schema(HEADLINE_SCHEMA + ", _corrupt string")
+        spark.read.schema(HEADLINE_SCHEMA)
         .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
+        .option("mode", "DROPMALFORMED")
+        .option("columnPruning", False)
         .csv(path)
     )
-    return rows.filter(F.col("_corrupt").isNull()).select("headline_text")
+    return rows.select("headline_text")
 
 
 def read_documents(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
@@ -77,8 +76,7 @@ def read_topics(spark: SparkSession, path: str) -> DataFrame:
 def read_text_tree(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content) of every .txt file below a folder."""
     return (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.txt").text(folder)
+        spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
 
