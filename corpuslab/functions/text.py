@@ -90,6 +90,15 @@ def good_tokens(tokens: Column) -> Column:
     return F.filter(cleaned, lambda t: t != "")
 
 
+def good_words(text: Column) -> Column:
+    """``good_tokens`` of ``word_tokens`` in one pass over the text.
+
+    A word token is a run of letters and digits or one other character, so what
+    survives the tidying is the runs and the two kept marks.
+    """
+    return F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+|[!?]"), F.lit(0))
+
+
 def ascii_fold(text: Column) -> Column:
     return F.regexp_replace(text, NON_ASCII, "")
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators.stats import word_counts
 from corpuslab.operators.tables import hash_bucket
+from corpuslab.session import cut_lineage
 
 # Word2Vec keeps words x dimensions on the driver.
 MAX_MODEL_CELLS = 1 << 30
@@ -46,7 +47,8 @@ def fit_word2vec(
     The model lives on the driver; a vocabulary that cannot fit there is
     refused with the reason instead of being cut.
     """
-    frequent = word_counts(sentences, words).filter(F.col("n") >= settings.min_count)
+    rows = cut_lineage(sentences.select(words))  # read for the check, the vocabulary and each pass
+    frequent = word_counts(rows, words).filter(F.col("n") >= settings.min_count)
     size = frequent.count()
     if size * settings.dim > MAX_MODEL_CELLS:
         raise ValueError(f"{size} words x {settings.dim} dimensions: raise min_count")
@@ -60,7 +62,7 @@ def fit_word2vec(
         inputCol=words,
         outputCol="_sentence_vector",
     )
-    model = estimator.fit(sentences.select(words))
+    model = estimator.fit(rows)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 

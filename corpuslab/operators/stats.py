@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
+from corpuslab.operators.unnest import each, each_struct
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -62,12 +63,12 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 def word_counts(rows: DataFrame, words: str = "words") -> DataFrame:
     """(word, n) over the whole corpus; summed inside each task before moving."""
-    return rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return each(rows, words, "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def doc_frequency(rows: DataFrame, words: str = "words") -> DataFrame:
     """(word, df): each document's words are made distinct inside its own row."""
-    single = rows.select(F.explode(F.array_distinct(words)).alias("word"))
+    single = each(rows, F.array_distinct(words), "word")
     return single.groupBy("word").agg(F.count("*").alias("df"))
 
 
@@ -81,7 +82,7 @@ def word_frequencies(rows: DataFrame, words: str = "words") -> DataFrame:
         ),
     )
     return (
-        rows.select(F.inline(marked))
+        each_struct(rows, marked, "word")
         .groupBy("word")
         .agg(F.sum("c").alias("cf"), F.sum("d").alias("df"))
     )
@@ -95,7 +96,7 @@ def word_counts_by_author(
     ``words_by_author`` has (author, words). ``top`` is a short, capped list, so
     it is broadcast; words outside it are dropped before any shuffle.
     """
-    single = words_by_author.select(author, F.explode("words").alias("word"))
+    single = each(words_by_author, "words", "word", author)
     kept = single.join(F.broadcast(top.select("word")), "word")
     per_author = [F.count_if(F.col(author) == a).alias(f"n_{a}") for a in authors]
     counts = kept.groupBy("word").agg(*per_author)
@@ -113,7 +114,7 @@ def nonascii_words(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, word, n) for words that hold a non-ASCII character."""
     hits = F.filter(tx.split_space(F.col(text)), lambda w: w.rlike(tx.NON_ASCII))
     return (
-        df.select(key, F.explode(hits).alias("word"))
+        each(df, hits, "word", key)
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"))
     )

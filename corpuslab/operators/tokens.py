@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from corpuslab.functions import text as tx
 from corpuslab.functions.stem import stem_words
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
+from corpuslab.operators.unnest import each, each_at
 
 
 def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per sentence: key, sent_pos, sentence."""
-    return docs.select(key, F.posexplode(tx.sentences(F.col(text))).alias("sent_pos", "sentence"))
+    return each_at(docs, tx.sentences(F.col(text)), "sent_pos", "sentence", key)
 
 
 def drop_headings(sentences: DataFrame) -> DataFrame:
@@ -103,16 +104,14 @@ def topic_words(
 ) -> DataFrame:
     """Words for a topic model: mask, tokenise, tidy, stop words out, stem."""
     masked = F.lower(tx.mask_nonascii(F.col(text)))
-    words = tx.without(tx.good_tokens(tx.word_tokens(masked)), stops)
+    words = tx.without(tx.good_words(masked), stops)
     return docs.select(key, (stem_words(words) if stem else words).alias("words"))
 
 
 def tokenized_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Sentence word lists for word vectors: mask, cut at full stops, tidy."""
     masked = F.lower(tx.mask_nonascii(F.col(text)))
-    groups = F.transform(
-        tx.period_sentences(masked), lambda s: tx.good_tokens(tx.word_tokens(s))
-    )
+    groups = F.transform(tx.period_sentences(masked), tx.good_words)
     return docs.select(key, groups.alias("all_sentences")).select(
         key,
         "all_sentences",
@@ -135,7 +134,7 @@ def headline_words(
 
 
 def explode_words(rows: DataFrame, *keys: str, words: str = "words") -> DataFrame:
-    return rows.select(*keys, F.explode(words).alias("word"))
+    return each(rows, words, "word", *keys)
 
 
 def map_distinct(words: DataFrame, mapper: Column, name: str, word: str = "word") -> DataFrame:

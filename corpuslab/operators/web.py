@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
+from corpuslab.operators.unnest import each, each_at, each_struct
 
 _OPEN, _CLOSE = chr(1), chr(2)
 
@@ -62,7 +63,7 @@ def page_links(pages: DataFrame, n: int | None = None) -> DataFrame:
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     if n is not None:
         links = F.slice(links, 1, n)
-    return pages.select("page_id", F.posexplode(links).alias("pos", "link"))
+    return each_at(pages, links, "pos", "link", "page_id")
 
 
 def paragraphs(html: Column) -> Column:
@@ -83,7 +84,7 @@ def page_glossary(pages: DataFrame) -> DataFrame:
     """
     pairs = tx.adjacent_pairs(F.col("ps"))
     rows = pages.select("page_id", paragraphs(F.col("html")).alias("ps"))
-    return rows.select("page_id", F.inline(pairs)).withColumnsRenamed(
+    return each_struct(rows, pairs, "first", "page_id").withColumnsRenamed(
         {"first": "term", "second": "description"}
     )
 
@@ -96,7 +97,7 @@ def title_words(titles: DataFrame, key: str = "page_id", title: str = "title") -
     """
     words = F.array_distinct(tx.split_whitespace(F.lower(tx.letters_only(F.col(title)))))
     return (
-        titles.select(key, title, F.explode(words).alias("word"))
+        each(titles, words, "word", key, title)
         .groupBy("word")
         .agg(
             F.count("*").alias("titles"),

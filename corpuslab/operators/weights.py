@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators.ordering import dense_index
 from corpuslab.operators.stats import word_frequencies
+from corpuslab.operators.unnest import each
 
 
 def document_count(rows: DataFrame) -> Column:
@@ -44,9 +45,7 @@ def word_ids(vocab: DataFrame, capped: bool) -> DataFrame:
 
 def postings(rows: DataFrame, key: str = "doc_id", words: str = "words") -> DataFrame:
     """(key, word, n)."""
-    return rows.select(key, F.explode(words).alias("word")).groupBy(key, "word").agg(
-        F.count("*").alias("n")
-    )
+    return each(rows, words, "word", key).groupBy(key, "word").agg(F.count("*").alias("n"))
 
 
 def bag_of_words(

@@ -8,6 +8,7 @@ from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
 from corpuslab.functions.stem import stem_word
 from corpuslab.operators import lexical, tokens, vectors, weights
+from corpuslab.operators.unnest import each, each_at
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, lemma_parts, parts, stem_parts
@@ -50,9 +51,8 @@ def _counts_query(name: str, column, sql: str) -> None:
     )
     def counted(spark, sf):
         docs = data.documents(spark, sf)
-        return docs.select("doc_id", F.explode(column(F.col("text"))).alias("token")).groupBy(
-            "doc_id", "token"
-        ).agg(F.count("*").alias("n"))
+        single = each(docs, column(F.col("text")), "token", "doc_id")
+        return single.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
 _counts_query(
@@ -125,7 +125,7 @@ def sentences(spark, sf):
 )
 def period_sentences(spark, sf):
     cut = tx.period_sentences(F.lower("text"))
-    return data.documents(spark, sf).select("doc_id", F.posexplode(cut).alias("sent_pos", "sentence"))
+    return each_at(data.documents(spark, sf), cut, "sent_pos", "sentence", "doc_id")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslab.operators import (
     latent, models, ordering, phrases, tables, tokens, topics, vectors, weights,
 )
+from corpuslab.operators.unnest import each
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import parts
@@ -63,7 +64,7 @@ def word2vec_trigrams(spark, sf):
 def word2vec_authors(spark, sf):
     """Vectors over masked, full-stop sentences."""
     rows = tokens.tokenized_sentences(data.documents(spark, sf))
-    single = rows.select(F.explode("sentences").alias("words"))
+    single = each(rows, "sentences", "words")
     settings = replace(models.AUTHOR_VECTORS, dim=16, max_iter=2)
     return _vector_rows(models.fit_word2vec(single, settings, partitions=PARTITIONS), "word")
 

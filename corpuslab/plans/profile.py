@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
 from corpuslab.operators import stats, tokens, weights
+from corpuslab.operators.unnest import each_at
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, parts
@@ -99,7 +100,7 @@ def _good_words(spark, sf):
     docs = data.documents(spark, sf, "doc_id", "lang", "text")
     return docs.select(
         "doc_id", F.col("lang").alias("author"),
-        tx.good_tokens(tx.word_tokens(F.lower("text"))).alias("words"),
+        tx.good_words(F.lower("text")).alias("words"),
     )
 
 
@@ -194,7 +195,7 @@ def numbering(spark, sf):
         lambda s, i: F.struct(i.alias("sent_pos"), F.size(tx.clean_words(s)).alias("n_words")),
     )
     kept = F.filter(numbered, lambda s: s["n_words"] > 2)
-    rows = docs.select("doc_id", F.posexplode(kept).alias("i", "s"))
+    rows = each_at(docs, kept, "i", "s", "doc_id")
     return rows.select("doc_id", F.col("s.sent_pos").alias("sent_pos"), (F.col("i") + 1).alias("sent_no"))
 
 

@@ -8,6 +8,7 @@ from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
 from corpuslab.operators import ordering, stats, tables, tokens
+from corpuslab.operators.unnest import each, each_struct
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, parts
@@ -226,8 +227,8 @@ def zip_columns(spark, sf):
         F.transform("kept", lambda p: F.length(p["s"])).alias("n_chars"),
         F.transform("kept", lambda p: F.size(tx.split_whitespace(F.lower(tx.letters_only(p["s"]))))).alias("n_words"),
     )
-    zipped = lists.select("doc_id", F.explode(F.arrays_zip("sent_pos", "n_chars", "n_words")).alias("z"))
-    return zipped.select("doc_id", "z.*")
+    zipped = F.arrays_zip("sent_pos", "n_chars", "n_words")
+    return each_struct(lists, zipped, "sent_pos", "doc_id")
 
 
 @query("head_cap", "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 1000000")
@@ -281,9 +282,8 @@ def union_topics(spark, sf):
         SELECT DISTINCT word FROM tok WHERE word NOT IN (SELECT word FROM conv)""",
 )
 def set_difference(spark, sf):
-    conv = read_table(spark, sf, "conversations").select(
-        F.explode(tx.split_whitespace(F.lower(tx.letters_only(F.col("text"))))).alias("word")
-    )
+    asked = tx.split_whitespace(F.lower(tx.letters_only(F.col("text"))))
+    conv = each(read_table(spark, sf, "conversations"), asked, "word")
     corpus = tokens.explode_words(data.words(spark, sf)).distinct()
     return tables.difference(corpus, conv.distinct(), "word")
 
@@ -322,7 +322,7 @@ def literal_corpus_query(spark, sf):
     topics = literal_corpus(spark, INLINE_TOPICS, "topic_id", "topic")
     single = topics.select("topic_id", "topic", F.explode(tx.split_space(F.col("topic"))).alias("word"))
     docs = tokens.document_words(data.documents(spark, sf), stops=None)
-    hits = docs.select("doc_id", F.explode(F.array_distinct("words")).alias("word"))
+    hits = each(docs, F.array_distinct("words"), "word", "doc_id")
     # the topics are a handful of literals
     pairs = hits.join(F.broadcast(single), "word").select("topic_id", "topic", "doc_id").distinct()
     return pairs.groupBy("topic_id", "topic").agg(F.count("*").alias("n_docs"))

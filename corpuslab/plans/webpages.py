@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslab.operators import web
+from corpuslab.operators.unnest import each_at
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.sources.writers import article_name
@@ -56,7 +57,7 @@ def page_glossary(spark, sf):
 def next_element(spark, sf):
     """Every paragraph beside the next one; the last has an empty neighbour."""
     rows = data.pages(spark, sf).select("page_id", web.paragraphs(F.col("html")).alias("ps"))
-    single = rows.select("page_id", "ps", F.posexplode("ps").alias("pos", "p"))
+    single = each_at(rows, "ps", "pos", "p", "page_id", "ps")
     after = F.coalesce(F.get("ps", F.col("pos") + 1), F.lit(""))
     return single.select("page_id", "pos", F.md5("p").alias("this"), F.md5(after).alias("following"))
 

@@ -6,6 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslab.operators.unnest import each_struct
+
 MESSAGE_SCHEMA = (
     "sentiment int, item_id bigint, tstamp string, sentiment_source string, "
     "sender string, sentiment_text string"
@@ -57,7 +59,7 @@ def read_term_matrix(spark: SparkSession, path: str) -> DataFrame:
     wide = spark.read.option("header", True).csv(path)
     key, *terms = wide.columns
     cells = [F.struct(F.lit(t).alias("term"), F.col(f"`{t}`").cast("double").alias("value")) for t in terms]
-    return wide.select(F.col(f"`{key}`").alias("doc_id"), F.inline(F.array(*cells))).filter("value != 0")
+    return each_struct(wide, F.array(*cells), "term", F.col(f"`{key}`").alias("doc_id")).filter("value != 0")
 
 
 def read_utterances(spark: SparkSession, path: str, query: str = "Query", intent: str = "Intent") -> DataFrame:
