@@ -14,6 +14,8 @@ from corpuslab.session import cut_lineage
 # lower 33 bits.
 _POSITION_MASK = (1 << 33) - 1
 
+SHORT_HEAD = 10_000
+
 
 def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
     """Dense 0-based position of every row in the global order of ``order``.
@@ -57,9 +59,29 @@ def index_within(
     )
 
 
-def head(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    """The first ``n`` rows in a total order."""
-    return df.orderBy(*order).limit(n)
+def head(
+    df: DataFrame, n: int, *order: Column | str, leading: Column | None = None
+) -> DataFrame:
+    """The first ``n`` rows in a total order.
+
+    A short head is a top-n: each task keeps n rows. A long one would send n
+    rows per task to a single task, so it is cut by distributed position
+    instead. ``leading`` is a number that rises with the order; rows clearly
+    past the n-th are then dropped before the sort by an approximate quantile,
+    whose result is used only if it leaves at least n rows.
+    """
+    if n <= SHORT_HEAD:
+        return df.orderBy(*order).limit(n)
+    total = df.count()
+    if total <= n:
+        return df
+    if leading is not None:
+        share = min(1.0, n / total + 0.001)
+        bound = df.agg(F.percentile_approx(leading, share, 10_000)).first()[0]
+        nearer = df.filter(leading.isNull() | (leading <= bound))
+        if nearer.count() >= n:
+            df = nearer
+    return dense_index(df, order, "_at").filter(F.col("_at") < n).drop("_at")
 
 
 def top_per_group(

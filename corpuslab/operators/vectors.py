@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.functions.vectors import zeros
+from corpuslab.operators.unnest import each_at
 from corpuslab.operators.weights import postings
 
 
@@ -136,6 +137,4 @@ def zero_vector(dim: int) -> Column:
 
 def explode_vector(df: DataFrame, *keys: str, vector: str = "vector", digits: int = 6) -> DataFrame:
     """One row per dimension, rounded; the shape used for checks and exports."""
-    return df.select(*keys, F.posexplode(vector).alias("dim", "value")).withColumn(
-        "value", F.round("value", digits)
-    )
+    return each_at(df, vector, "dim", "value", *keys).withColumn("value", F.round("value", digits))

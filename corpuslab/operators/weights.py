@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuslab.operators.ordering import dense_index
+from corpuslab.operators.ordering import SHORT_HEAD, dense_index, head
 from corpuslab.operators.stats import word_frequencies
 from corpuslab.operators.unnest import each
+from corpuslab.session import cut_lineage
 
 
 def document_count(rows: DataFrame) -> Column:
@@ -29,7 +30,9 @@ def vocabulary_bounds(
     )
     if keep is None:
         return bounded
-    return bounded.orderBy(F.desc(by), "word").limit(keep)
+    if keep > SHORT_HEAD:
+        bounded = cut_lineage(bounded)  # counted, bounded and sorted below
+    return head(bounded, keep, F.desc(by), "word", leading=-F.col(by))
 
 
 def word_ids(vocab: DataFrame, capped: bool) -> DataFrame:

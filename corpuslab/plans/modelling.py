@@ -147,6 +147,17 @@ def lda_tf_idf(spark, sf):
     return topics.topic_top_words(model, topics.vocabulary_table(spark, listed), 10)
 
 
+@query("nmf_topics")
+def nmf_topics(spark, sf):
+    """Five non-negative factors of the TF-IDF table: ten strongest words of each."""
+    rows = cut_lineage(data.words(spark, sf))
+    bounds = dict(min_df=2, max_share=0.95, keep=1000, by="cf")
+    listed = topics.vocabulary_words(weights.vocabulary_bounds(rows, **bounds))
+    weighed = weights.tf_idf_smooth(rows, **bounds)
+    factors, _ = topics.nmf_topics(weighed, listed, topics.FactorSettings(k=5, passes=5))
+    return ordering.top_per_group(factors, "topic", 10, F.desc("weight"), "word")
+
+
 @query("doc_topics")
 def doc_topics(spark, sf):
     """Full topic distribution of every document."""

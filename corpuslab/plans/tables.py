@@ -234,7 +234,7 @@ def zip_columns(spark, sf):
 @query("head_cap", "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 1000000")
 def head_cap(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "n_chars")
-    return ordering.head(docs, 1_000_000, "doc_id")
+    return ordering.head(docs, 1_000_000, "doc_id", leading=F.col("doc_id"))
 
 
 @query("preview", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 5")

@@ -138,7 +138,7 @@ def matrix_product(spark, sf):
     a = weights.postings(rows).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("n").alias("value"))
     table = data.word_vectors(spark, sf, rows)
     b = table.select(F.col("word").alias("i"), F.posexplode("vector").alias("j", "value"))
-    return multiply(a, b).withColumn("value", F.round("value", 6))
+    return multiply(a, b, tile=WIDTH).withColumn("value", F.round("value", 6))
 
 
 NEAR_WORD = "the"

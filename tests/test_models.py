@@ -88,3 +88,28 @@ def test_grid_search_and_submission(points):
     out = models.submission(search.bestModel.transform(rows), ["zero", "one"]).collect()
     assert all(abs(r["zero"] + r["one"] - 1) < 1e-9 for r in out)
     assert any(r["zero"] > 0.9 for r in out) and any(r["one"] > 0.9 for r in out)
+
+
+def test_nmf_separates_the_themes(spark, themed):
+    words = sorted(THEMES[0] + THEMES[1])
+    weighed = themed.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(
+        F.count("*").cast("double").alias("weight")
+    )
+    factors, docs = topics.nmf_topics(weighed, words, topics.FactorSettings(k=2, passes=8))
+    top = {
+        t: {r["word"] for r in factors.filter(F.col("topic") == t).orderBy(F.desc("weight")).limit(5).collect()}
+        for t in (0, 1)
+    }
+    assert sorted(map(sorted, top.values())) == sorted(map(sorted, THEMES))
+    assert factors.filter("weight < 0").count() == 0 and docs.count() == 80
+
+
+def test_long_heads_are_cut_by_position(spark, monkeypatch):
+    from corpuslab.operators import ordering
+
+    monkeypatch.setattr(ordering, "SHORT_HEAD", 5)
+    df = spark.range(1000).withColumn("n", (F.col("id") * 7919) % 100).repartition(9)
+    want = sorted(((-r["n"], r["id"]) for r in df.collect()))[:37]
+    got = ordering.head(df, 37, F.desc("n"), "id", leading=-F.col("n")).collect()
+    assert sorted((-r["n"], r["id"]) for r in got) == want
+    assert ordering.head(df, 5000, "id").count() == 1000

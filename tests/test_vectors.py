@@ -230,7 +230,8 @@ def test_matrix_product(spark):
     as_rows = lambda m: spark.createDataFrame(
         [(i, j, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1])], "i int, j int, value double"
     )
-    got = np.zeros((2, 4))
-    for r in latent.matrix_product(as_rows(a), as_rows(b)).collect():
-        got[r["i"], r["j"]] = r["value"]
-    assert np.allclose(got, a @ b)
+    for tile in (None, 3):
+        got = np.zeros((2, 4))
+        for r in latent.matrix_product(as_rows(a), as_rows(b), tile).collect():
+            got[r["i"], r["j"]] = r["value"]
+        assert np.allclose(got, a @ b)
