@@ -225,7 +225,7 @@ def _similar_sql(k: int, corrected: bool) -> str:
         qv AS (SELECT query_id, dim, avg(v) AS q FROM qw JOIN wv_long USING (word) GROUP BY query_id, dim),
         qa AS (SELECT query_id, list(q ORDER BY dim) AS q FROM qv GROUP BY query_id),
         da AS (SELECT doc_id, list(value ORDER BY dim) AS d FROM docvec GROUP BY doc_id HAVING sum(value * value) > 0),
-        dd AS (SELECT list_transform(d, lambda x: round(x, 10)) AS key, min(doc_id) AS doc_id, first(d ORDER BY doc_id) AS d
+        dd AS (SELECT list_transform(d, lambda x: round(x, 12)) AS d, min(doc_id) AS doc_id
                FROM da GROUP BY 1),
         sc AS (SELECT query_id, doc_id, round(list_cosine_similarity(q, d), 9) AS s FROM qa, dd),
         rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM sc)
@@ -241,27 +241,25 @@ def _matches(spark, sf, k, corrected):
         asked = tokens.map_words(asked, fixes, ["query_id"])
     queries = vectors.mean_word_vectors(asked, table, WIDTH, "query_id")
     stored = vectors.mean_word_vectors(rows, table, WIDTH).withColumnRenamed("doc_id", "stored_id")
-    # copies of a text can differ in the last bit of a sum; ten digits name them
-    stored = stored.withColumn("vector", F.transform("vector", lambda x: F.round(x, 10)))
+    # copies of a text can differ in the last bit of a sum; rounded, they are equal
+    stored = stored.withColumn("vector", F.transform("vector", lambda x: F.round(x, 12)))
     return similarity.nearest_rows(queries, stored, k)
 
 
 @query(
     "top_matches",
     _similar_sql(3, False)
-    + "SELECT query_id, rank, doc_id AS stored_id, round(s, 6) AS similarity FROM rk WHERE rank <= 3",
+    + "SELECT query_id, rank, doc_id AS stored_id, s AS similarity FROM rk WHERE rank <= 3",
 )
 def top_matches(spark, sf):
     """Three best documents for every user turn."""
-    return _matches(spark, sf, 3, False).select(
-        "query_id", "rank", "stored_id", F.round("similarity", 6).alias("similarity")
-    )
+    return _matches(spark, sf, 3, False).select("query_id", "rank", "stored_id", "similarity")
 
 
 @query(
     "get_intent",
     _similar_sql(1, True)
-    + """SELECT query_id, doc_id AS stored_id, lang AS intent, round(s, 6) AS similarity
+    + """SELECT query_id, doc_id AS stored_id, lang AS intent, s AS similarity
          FROM rk JOIN documents USING (doc_id) WHERE rank = 1""",
 )
 def get_intent(spark, sf):
@@ -269,21 +267,19 @@ def get_intent(spark, sf):
     labelled = read_table(spark, sf, "documents").select(
         F.col("doc_id").alias("stored_id"), F.col("lang").alias("intent")
     )
-    found = similarity.best_intent(_matches(spark, sf, 1, True), labelled)
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return similarity.best_intent(_matches(spark, sf, 1, True), labelled)
 
 
 @query(
     "argmax_per_query",
     _similar_sql(1, False)
-    + "SELECT query_id, doc_id AS stored_id, round(s, 6) AS similarity, round(1 - s, 6) AS distance FROM rk WHERE rank = 1",
+    + "SELECT query_id, doc_id AS stored_id, s AS similarity, round(1 - s, 9) AS distance FROM rk WHERE rank = 1",
 )
 def argmax_per_query(spark, sf):
     """Best row of every user turn without spelling correction, as similarity and distance."""
     best = _matches(spark, sf, 1, False)
     return best.select(
-        "query_id", "stored_id", F.round("similarity", 6).alias("similarity"),
-        F.round(1 - F.col("similarity"), 6).alias("distance"),
+        "query_id", "stored_id", "similarity", F.round(1 - F.col("similarity"), 9).alias("distance")
     )
 
 
@@ -291,11 +287,10 @@ def argmax_per_query(spark, sf):
     "similar_pairs",
     """WITH v AS (SELECT min(vec_id) AS id, count(*) AS copies, CAST(embedding AS DOUBLE[]) AS e
                   FROM embeddings GROUP BY embedding)
-       SELECT a.id AS a, b.id AS b, round(round(list_cosine_similarity(a.e, b.e), 9), 6) AS similarity,
+       SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.e, b.e), 9) AS similarity,
               a.copies AS copies_a, b.copies AS copies_b
        FROM v a JOIN v b ON a.id < b.id WHERE round(list_cosine_similarity(a.e, b.e), 9) >= 0.3""",
 )
 def similar_pairs(spark, sf):
     """All pairs of embeddings whose cosine is at least 0.3."""
-    pairs = similarity.similar_pairs(data.embeddings(spark, sf), 0.3, block_rows=128)
-    return pairs.withColumn("similarity", F.round("similarity", 6))
+    return similarity.similar_pairs(data.embeddings(spark, sf), 0.3, block_rows=128)
