@@ -40,10 +40,13 @@ AUTHOR_VECTORS = VectorSettings(dim=200, min_count=3, window=6, max_iter=6)
 
 
 def fit_word2vec(
-    sentences: DataFrame, settings: VectorSettings, words: str = "words", partitions: int = 1
+    sentences: DataFrame, settings: VectorSettings, words: str = "words", partitions: int | None = None
 ) -> DataFrame:
     """(word, vector) from a skip-gram model over one row per sentence.
 
+    Every pass trains ``partitions`` parts side by side (one per core unless
+    given) and averages them.
+
     The model lives on the driver; a vocabulary that cannot fit there is
     refused with the reason instead of being cut.
     """
@@ -58,7 +61,7 @@ def fit_word2vec(
         windowSize=settings.window,
         maxIter=settings.max_iter,
         seed=settings.seed,
-        numPartitions=partitions,
+        numPartitions=partitions or rows.sparkSession.sparkContext.defaultParallelism,
         inputCol=words,
         outputCol="_sentence_vector",
     )

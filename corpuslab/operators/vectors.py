@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions.vectors import zeros
 from corpuslab.operators.unnest import each_at
 from corpuslab.operators.weights import postings
+from corpuslab.session import cut_lineage
 
 
 def vector_width(vectors: DataFrame, vector: str = "vector") -> int:
@@ -107,8 +108,10 @@ def standardize(
 
     ``train`` selects the rows whose statistics are used for all rows;
     ``per_split`` uses each split's own statistics instead. A dimension without
-    spread becomes zero.
+    spread becomes zero. The rows are read for the statistics and again for
+    the result, so they are written once.
     """
+    df = cut_lineage(df)
     entry = [F.get(F.col(vector), F.lit(i)) for i in range(dim)]
     moments = [
         F.array(*[F.avg(e) for e in entry]).alias("_mean"),

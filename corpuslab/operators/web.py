@@ -115,11 +115,11 @@ def match_title(terms: DataFrame, titles: DataFrame, keys: list[str], term: str
     """
     index = title_words(titles)
     words = F.array_distinct(tx.split_whitespace(F.lower(tx.letters_only(F.col(term)))))
-    single = terms.select(*keys, term, F.explode_outer(words).alias("word"))
-    found = single.join(index, "word", "left")
-    hit = F.when(F.col("titles").isNotNull(), F.struct("titles", "word", "best_title", "best_key"))
-    best = found.groupBy(*keys).agg(F.first(term).alias(term), F.min(hit).alias("b"))
-    return best.select(
+    # only keys and words travel; the term's text stays with its own row
+    found = each(terms, words, "word", *keys).join(index, "word")
+    hit = F.struct("titles", "word", "best_title", "best_key")
+    best = found.groupBy(*keys).agg(F.min(hit).alias("b"))
+    return terms.select(*keys, term).join(best, keys, "left").select(
         *keys,
         term,
         F.coalesce("b.best_title", F.lit("")).alias("title"),

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
-from corpuslab.operators import ordering, stats, tokens
-from corpuslab.session import spread
+from corpuslab.operators import ordering, stats, tokens, web
+from corpuslab.session import by_key, spread
 from corpuslab.sources.readers import read_table
 
 
@@ -24,8 +24,13 @@ def clean(spark: SparkSession, sf: str, **options) -> DataFrame:
     return tokens.clean_sentences(documents(spark, sf), **options)
 
 
-def words(spark: SparkSession, sf: str) -> DataFrame:
-    return tokens.document_words(documents(spark, sf))
+def words(spark: SparkSession, sf: str, per_document: bool = False) -> DataFrame:
+    """Cleaned words of every document; placed by document for steps that group by it."""
+    if per_document:
+        docs = by_key(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    else:
+        docs = documents(spark, sf)
+    return tokens.document_words(docs)
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,9 +64,7 @@ def utterances(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_titles(spark: SparkSession, sf: str) -> DataFrame:
-    from corpuslab.operators.web import page_quotes
-
-    return page_quotes(pages(spark, sf)).select("page_id", "url", F.coalesce("title", F.lit("")).alias("title"))
+    return web.page_quotes(pages(spark, sf)).select("page_id", "url", F.coalesce("title", F.lit("")).alias("title"))
 
 
 def utterance_words(spark: SparkSession, sf: str) -> DataFrame:

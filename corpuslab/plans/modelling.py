@@ -25,7 +25,6 @@ PHRASE_VECTORS = replace(models.PHRASE_VECTORS, dim=32)
 SENTENCE_TOPICS = replace(topics.SENTENCE_TOPICS, batch_share=0.25)
 HEADLINE_TOPICS = replace(topics.HEADLINE_TOPICS, batch_share=0.25)
 AUTHOR_TOPICS = replace(topics.AUTHOR_TOPICS, k=10, passes=4, batch_share=0.25)
-PARTITIONS = 8
 
 
 # Word vectors
@@ -33,7 +32,7 @@ PARTITIONS = 8
 
 def _message_vectors(spark, sf):
     rows = data.clean(spark, sf, min_words=3)
-    return models.fit_word2vec(rows, MESSAGE_VECTORS, partitions=PARTITIONS)
+    return models.fit_word2vec(rows, MESSAGE_VECTORS)
 
 
 def _vector_rows(df, *keys):
@@ -50,14 +49,14 @@ def word2vec_fit(spark, sf):
 def word2vec_phrases(spark, sf):
     """Vectors over sentences with merged word pairs."""
     merged = phrases.bigrams(data.clean(spark, sf, min_words=3))
-    return _vector_rows(models.fit_word2vec(merged, PHRASE_VECTORS, partitions=PARTITIONS), "word")
+    return _vector_rows(models.fit_word2vec(merged, PHRASE_VECTORS), "word")
 
 
 @query("word2vec_trigrams")
 def word2vec_trigrams(spark, sf):
     """Three-dimensional vectors over twice merged sentences, every word kept."""
     merged = phrases.trigrams(data.clean(spark, sf, min_words=3))
-    return _vector_rows(models.fit_word2vec(merged, models.CORPUS_VECTORS, partitions=PARTITIONS), "word")
+    return _vector_rows(models.fit_word2vec(merged, models.CORPUS_VECTORS), "word")
 
 
 @query("word2vec_authors")
@@ -66,7 +65,7 @@ def word2vec_authors(spark, sf):
     rows = tokens.tokenized_sentences(data.documents(spark, sf))
     single = each(rows, "sentences", "words")
     settings = replace(models.AUTHOR_VECTORS, dim=16, max_iter=2)
-    return _vector_rows(models.fit_word2vec(single, settings, partitions=PARTITIONS), "word")
+    return _vector_rows(models.fit_word2vec(single, settings), "word")
 
 
 @query("doc_vectors")
@@ -76,7 +75,7 @@ def doc_vectors(spark, sf):
         "sent_id", F.concat_ws("-", "doc_id", "sent_pos")
     )
     merged = cut_lineage(merged)
-    table = models.fit_word2vec(merged, PHRASE_VECTORS, partitions=PARTITIONS)
+    table = models.fit_word2vec(merged, PHRASE_VECTORS)
     vecs = vectors.mean_word_vectors(merged, table, PHRASE_VECTORS.dim, "sent_id")
     return vecs.select("sent_id", "known", "total", F.round(F.get("vector", F.lit(0)), 6).alias("first"))
 

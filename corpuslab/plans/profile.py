@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
-from corpuslab.operators import stats, tokens, weights
+from corpuslab.operators import phrases, stats, tables, tokens, weights
 from corpuslab.operators.unnest import each_at
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
@@ -204,9 +204,7 @@ def numbering(spark, sf):
     parts("pairs") + "SELECT first, second, n FROM pairs",
 )
 def adjacent_pairs(spark, sf):
-    from corpuslab.operators.phrases import pair_counts
-
-    return pair_counts(data.clean(spark, sf))
+    return phrases.pair_counts(data.clean(spark, sf))
 
 
 @query(
@@ -256,9 +254,7 @@ def vocabulary_bounds(spark, sf):
         weights.vocabulary_bounds(rows, **bounds).select(F.lit(name).alias("variant"), "word", "cf", "df")
         for name, bounds in variants.items()
     ]
-    from corpuslab.operators.tables import append_rows
-
-    return append_rows(*frames)
+    return tables.append_rows(*frames)
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
-from corpuslab.operators import ordering, stats, tables, tokens
+from corpuslab.operators import ordering, stats, tables, tokens, weights
 from corpuslab.operators.unnest import each, each_struct
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
@@ -350,8 +350,6 @@ def remove_stopwords(spark, sf):
          (SELECT word FROM freq, nd WHERE df >= 15 AND df <= 0.5 * n_docs)""",
 )
 def known_words(spark, sf):
-    from corpuslab.operators import weights
-
     rows = data.words(spark, sf)
     vocab = weights.vocabulary_bounds(rows, min_df=15, max_share=0.5)
     return tables.membership(weights.postings(rows), vocab.select("word"), "word").select("doc_id", "word", "n")

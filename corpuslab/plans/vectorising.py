@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
-from corpuslab.operators import lexical, similarity, tables, tokens, vectors, weights
+from corpuslab.operators import latent, lexical, similarity, tables, tokens, vectors, weights
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import parts
@@ -18,7 +18,7 @@ IDF = "idf AS (SELECT word, ln((1.0 + n_docs) / (1.0 + df)) + 1.0 AS idf FROM fr
 
 @query("word_vector_lookup", parts("post", "wv") + "SELECT doc_id, word, n, vec_id FROM post JOIN wv USING (word)")
 def word_vector_lookup(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     table = data.word_vectors(spark, sf, rows).select("word", "vec_id")
     return vectors.word_vector_lookup(rows, table)
 
@@ -33,13 +33,13 @@ def _idf(rows):
     + "SELECT doc_id, word, n, vec_id, round(idf, 6) AS idf FROM post JOIN wv USING (word) JOIN idf USING (word)",
 )
 def vector_and_weight_lookup(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     table = data.word_vectors(spark, sf, rows).select("word", "vec_id")
     return vectors.vector_and_weight_lookup(rows, table, _idf(rows)).withColumn("idf", F.round("idf", 6))
 
 
 def document_vectors(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     return vectors.mean_word_vectors(rows, data.word_vectors(spark, sf, rows), WIDTH)
 
 
@@ -67,7 +67,7 @@ def weighted_word_vector(spark, sf):
 
 
 def weighted_vectors(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     return vectors.weighted_word_vectors(rows, data.word_vectors(spark, sf, rows), _idf(rows), WIDTH)
 
 
@@ -132,13 +132,11 @@ def standardize_per_split(spark, sf):
 )
 def matrix_product(spark, sf):
     """Document x word counts times word x dimension vectors."""
-    from corpuslab.operators.latent import matrix_product as multiply
-
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     a = weights.postings(rows).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("n").alias("value"))
     table = data.word_vectors(spark, sf, rows)
     b = table.select(F.col("word").alias("i"), F.posexplode("vector").alias("j", "value"))
-    return multiply(a, b, tile=WIDTH).withColumn("value", F.round("value", 6))
+    return latent.matrix_product(a, b, tile=WIDTH).withColumn("value", F.round("value", 6))
 
 
 NEAR_WORD = "the"
@@ -174,7 +172,7 @@ _ONE_UTTERANCE = f"""uw AS (SELECT unnest(string_split(lower(regexp_replace('{UT
 )
 def intent_scores(spark, sf):
     """One utterance against every document vector; rows without a vector have no score."""
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     table = data.word_vectors(spark, sf, rows)
     docs = vectors.mean_word_vectors(rows, table, WIDTH)
     asked = spark.createDataFrame([(0, UTTERANCE)], "query_id bigint, text string").select(
@@ -233,7 +231,7 @@ def _similar_sql(k: int, corrected: bool) -> str:
 
 
 def _matches(spark, sf, k, corrected):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     table = data.word_vectors(spark, sf, rows)
     asked = _asked_words(spark, sf)
     if corrected:

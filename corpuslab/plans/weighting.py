@@ -10,6 +10,7 @@ from corpuslab.operators import ordering, phrases, tokens, weights
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import parts
+from corpuslab.sources.readers import read_table
 
 TOP_PHRASES = 20
 RARE_PHRASE = 20
@@ -121,8 +122,6 @@ _BENCH_WORDS = """bw AS (SELECT list_filter(string_split(lower(regexp_replace(s,
          GROUP BY token""",
 )
 def extend_phrase_vocab(spark, sf):
-    from corpuslab.sources.readers import read_table
-
     more = tokens.clean_sentences(read_table(spark, sf, "benchmark"), key="item_id", remove_stops=False)
     return phrases.extend_phrase_vocab(
         phrases.phrase_vocab(data.clean(spark, sf)), phrases.phrase_vocab(more)
@@ -157,7 +156,7 @@ def _capped(rows):
     parts("post", "freq", "nd", extra=_BAG) + "SELECT doc_id, word_id, n FROM post JOIN voc USING (word)",
 )
 def bag_of_words(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     return weights.bag_of_words(rows, _capped(rows))
 
 
@@ -166,7 +165,7 @@ def bag_of_words(spark, sf):
     parts("post", "freq", "nd", extra=_BAG) + "SELECT doc_id, word_id, word, n FROM post JOIN voc USING (word)",
 )
 def id_to_word(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.words(spark, sf, per_document=True)
     vocab = _capped(rows)
     return weights.id_to_word(weights.bag_of_words(rows, vocab), vocab)
 
@@ -192,7 +191,7 @@ def word_ids(spark, sf):
 )
 def count_matrix(spark, sf):
     """Counts over a bounded vocabulary of words of at least two letters."""
-    rows = data.words(spark, sf).withColumn("words", F.filter("words", lambda w: F.length(w) >= 2))
+    rows = data.words(spark, sf, per_document=True).withColumn("words", F.filter("words", lambda w: F.length(w) >= 2))
     return weights.bag_of_words(rows, _capped(rows))
 
 
@@ -218,7 +217,7 @@ def _rounded(rows):
     _SMOOTH + "SELECT doc_id, word, n, round(idf, 6) AS idf, round(weight, 6) AS weight FROM unit",
 )
 def tf_idf_smooth(spark, sf):
-    return _rounded(weights.tf_idf_smooth(data.words(spark, sf), min_df=2))
+    return _rounded(weights.tf_idf_smooth(data.words(spark, sf, per_document=True), min_df=2))
 
 
 @query(
@@ -226,7 +225,7 @@ def tf_idf_smooth(spark, sf):
     _LOG2 + "SELECT doc_id, word, n, round(idf, 6) AS idf, round(weight, 6) AS weight FROM unit WHERE weight > 1e-12",
 )
 def tf_idf_log2(spark, sf):
-    return _rounded(weights.tf_idf_log2(data.words(spark, sf), min_df=3, max_share=0.8))
+    return _rounded(weights.tf_idf_log2(data.words(spark, sf, per_document=True), min_df=3, max_share=0.8))
 
 
 @query(
@@ -249,6 +248,6 @@ def idf_weights(spark, sf):
 )
 def strongest_words(spark, sf):
     """Ten strongest TF-IDF words of every document."""
-    weighed = weights.tf_idf_smooth(data.words(spark, sf), min_df=2)
+    weighed = weights.tf_idf_smooth(data.words(spark, sf, per_document=True), min_df=2)
     best = ordering.top_per_group(weighed, "doc_id", 10, F.desc(F.round("weight", 9)), "word")
     return best.select("doc_id", "rank", "word", F.round("weight", 6).alias("weight"))

@@ -45,7 +45,7 @@ def test_uncapped_vocabulary_is_refused(spark):
 
 def test_word2vec_then_mean_ignores_unknown_words(spark, themed):
     settings = models.VectorSettings(dim=4, min_count=1, max_iter=1, seed=7)
-    table = models.fit_word2vec(themed, settings)
+    table = models.fit_word2vec(themed, settings, partitions=1)
     assert table.count() == 10
     rows = spark.createDataFrame([(1, ["apple"]), (2, ["apple", "unheard"])], "doc_id long, words array<string>")
     got = {r["doc_id"]: r["vector"] for r in vectors.mean_word_vectors(rows, table, 4).collect()}
