@@ -52,7 +52,3 @@ def slice_columns(vector: Column, start: int, length: int) -> Column:
 def binarize(vector: Column) -> Column:
     """1 for each positive entry; other entries stay as they are."""
     return F.transform(vector, lambda x: F.when(x > 0, F.lit(1.0)).otherwise(x))
-
-
-def zeros(dim: int) -> Column:
-    return F.array_repeat(F.lit(0.0), dim)

@@ -100,12 +100,19 @@ def topic_words(
     key: str = "doc_id",
     text: str = "text",
     stops: Sequence[str] = (*ENGLISH_STOP_WORDS, tx.MASK_WORD),
+    lemmas: DataFrame | None = None,
     stem: bool = True,
 ) -> DataFrame:
-    """Words for a topic model: mask, tokenise, tidy, stop words out, stem."""
+    """Words for a topic model: mask, tokenise, tidy, stop words out, lemma, stem."""
     masked = F.lower(tx.mask_nonascii(F.col(text)))
     words = tx.without(tx.good_words(masked), stops)
-    return docs.select(key, (stem_words(words) if stem else words).alias("words"))
+    return _normalised(docs.select(key, words.alias("words")), key, lemmas, stem)
+
+
+def _normalised(rows: DataFrame, key: str, lemmas: DataFrame | None, stem: bool) -> DataFrame:
+    if lemmas is not None:
+        rows = map_words(rows, lemmas, [key])
+    return rows.withColumn("words", stem_words(F.col("words"))) if stem else rows
 
 
 def tokenized_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,12 +132,14 @@ def headline_words(
     text: str = "text",
     stops: Sequence[str] = ENGLISH_STOP_WORDS,
     shortest: int = 4,
+    lemmas: DataFrame | None = None,
+    stem: bool = True,
 ) -> DataFrame:
-    """Headline tokens: base tokens, stop words and short words out, stemmed."""
+    """Headline words: base tokens, stop words and short words out, verb lemma, stem."""
     words = F.filter(
         tx.without(tx.simple_tokens(F.col(text)), stops), lambda w: F.length(w) >= shortest
     )
-    return docs.select(key, stem_words(words).alias("words"))
+    return _normalised(docs.select(key, words.alias("words")), key, lemmas, stem)
 
 
 def explode_words(rows: DataFrame, *keys: str, words: str = "words") -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslab.functions.vectors import zeros
 from corpuslab.operators.unnest import each_at
 from corpuslab.operators.weights import postings
 from corpuslab.session import cut_lineage
@@ -134,10 +133,6 @@ def standardize(
     return placed.withColumn(vector, scaled).drop("_stats", "_mean", "_dev")
 
 
-def zero_vector(dim: int) -> Column:
-    return zeros(dim)
-
-
 def explode_vector(df: DataFrame, *keys: str, vector: str = "vector", digits: int = 6) -> DataFrame:
     """One row per dimension, rounded; the shape used for checks and exports."""
     return each_at(df, vector, "dim", "value", *keys).withColumn("value", F.round("value", digits))

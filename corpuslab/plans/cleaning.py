@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
 from corpuslab.functions.stem import stem_word
+from corpuslab.functions.words import VERB_RULES
 from corpuslab.operators import lexical, tokens, vectors, weights
 from corpuslab.operators.unnest import each, each_at
 from corpuslab.plans import data
@@ -152,12 +153,35 @@ _HEADLINE = rf"""hl AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(low
     lambda w: length(w) BETWEEN 4 AND 15 AND w NOT IN ({STOPS}))) AS word FROM documents)"""
 
 
+_NORMALISED = "norm AS (SELECT doc_id, m.lemma AS word FROM {0} JOIN lemmas m USING (word))"
+_COUNT_STEMS = " SELECT doc_id, stem AS word, count(*) AS n FROM norm JOIN stems USING (word) GROUP BY ALL"
+
+
 @query(
     "simple_preprocess",
-    f"WITH {_HEADLINE},\n{stem_parts('hl')} SELECT doc_id, stem AS word, count(*) AS n FROM hl JOIN stems USING (word) GROUP BY ALL",
+    f"WITH {_HEADLINE},\n{lemma_parts('hl', VERB_RULES)},\n{_NORMALISED.format('hl')},\n{stem_parts('norm')}"
+    + _COUNT_STEMS,
 )
 def simple_preprocess(spark, sf):
-    return weights.postings(tokens.headline_words(data.documents(spark, sf)))
+    """Base tokens, stop and short words out, verb lemma (corpus words as lexicon), stem."""
+    docs = data.documents(spark, sf)
+    corpus = tokens.explode_words(tokens.headline_words(docs, stem=False))
+    verbs = lexical.lemma_table(corpus, part="verb")
+    return weights.postings(tokens.headline_words(docs, lemmas=verbs))
+
+
+@query(
+    "stemmed_topic_words",
+    f"""WITH tw AS (SELECT * FROM (SELECT doc_id, unnest({good(MASKED)}) AS word FROM documents)
+               WHERE word NOT IN ('qwerty', {STOPS})),
+        {lemma_parts('tw')},\n{_NORMALISED.format('tw')},\n{stem_parts('norm')}"""
+    + _COUNT_STEMS,
+)
+def stemmed_topic_words(spark, sf):
+    """Mask, tokenise, tidy, stop words out, noun lemma, stem."""
+    docs = data.documents(spark, sf)
+    nouns = lexical.lemma_table(tokens.explode_words(tokens.topic_words(docs, stem=False)))
+    return weights.postings(tokens.topic_words(docs, lemmas=nouns))
 
 
 @query(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslab.functions import text as tx
 from corpuslab.functions import vectors as vx
 from corpuslab.operators import ordering, stats, tokens, web
 from corpuslab.session import by_key, spread
@@ -65,7 +64,3 @@ def utterances(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_titles(spark: SparkSession, sf: str) -> DataFrame:
     return web.page_quotes(pages(spark, sf)).select("page_id", "url", F.coalesce("title", F.lit("")).alias("title"))
-
-
-def utterance_words(spark: SparkSession, sf: str) -> DataFrame:
-    return utterances(spark, sf).select("query_id", tx.clean_words(F.col("text")).alias("words"))

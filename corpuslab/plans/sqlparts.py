@@ -158,10 +158,10 @@ def stem_parts(source: str, word: str = "word") -> str:
     return ",\n".join(ctes)
 
 
-def lemma_parts(source: str) -> str:
-    """CTEs that end in ``lemmas`` (word, lemma) by the noun rules, corpus words as lexicon."""
+def lemma_parts(source: str, rules=NOUN_RULES) -> str:
+    """CTEs that end in ``lemmas`` (word, lemma) by the given rules, corpus words as lexicon."""
     options = ["SELECT word, 0 AS rule, word AS candidate FROM lw"]
-    for i, (suffix, replacement) in enumerate(NOUN_RULES, start=1):
+    for i, (suffix, replacement) in enumerate(rules, start=1):
         options.append(
             f"SELECT word, {i}, substr(word, 1, length(word) - {len(suffix)}) || '{replacement}' FROM lw"
             f" WHERE ends_with(word, '{suffix}')"
