@@ -15,6 +15,7 @@ from corpuslab.functions import text as tx
 from corpuslab.functions.stem import stem_words
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
 from corpuslab.operators.unnest import each, each_at
+from corpuslab.session import lookup
 
 
 def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,12 +64,11 @@ def map_words(
 ) -> DataFrame:
     """Replace words by ``mapping`` (word, lemma), keeping their order.
 
-    ``mapping`` holds only words that change. Spark broadcasts it when it is
-    small and otherwise splits hot words with its skew join; the regrouping is
-    by row of origin, so a group is never larger than one row.
+    ``mapping`` holds only words that change, so it is a lookup table. The
+    regrouping is by row of origin: a group is never larger than one row.
     """
     single = rows.select(*keys, F.posexplode_outer(words).alias("pos", "word"))
-    mapped = single.join(mapping, "word", "left").select(
+    mapped = single.join(lookup(mapping), "word", "left").select(
         *keys, "pos", F.coalesce("lemma", "word").alias("word")
     )
     gathered = mapped.groupBy(*keys).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators.unnest import each_at
 from corpuslab.operators.weights import postings
-from corpuslab.session import cut_lineage
+from corpuslab.session import cut_lineage, lookup
 
 
 def vector_width(vectors: DataFrame, vector: str = "vector") -> int:
@@ -32,7 +32,7 @@ def word_vector_lookup(
     rows: DataFrame, vectors: DataFrame, key: str = "doc_id", words: str = "words"
 ) -> DataFrame:
     """(key, word, n, + vector columns) for the words that have a vector."""
-    return postings(rows, key, words).join(vectors, "word")
+    return postings(rows, key, words).join(lookup(vectors), "word")
 
 
 def vector_and_weight_lookup(
@@ -40,7 +40,7 @@ def vector_and_weight_lookup(
 ) -> DataFrame:
     """As above for words that have both a vector and an idf."""
     both = vectors.join(idf.select("word", "idf"), "word")
-    return postings(rows, key, words).join(both, "word")
+    return postings(rows, key, words).join(lookup(both), "word")
 
 
 def _document_vectors(
@@ -51,7 +51,7 @@ def _document_vectors(
         .groupBy(key, "word")
         .agg(F.count("word").alias("n"))
     )
-    joined = counted.join(table, "word", "left")
+    joined = counted.join(lookup(table), "word", "left")
     known = F.sum(F.when(F.col("vector").isNotNull(), F.col("n")).otherwise(F.lit(0)))
     sums = joined.groupBy(key).agg(
         known.alias("known"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
 from corpuslab.operators.unnest import each, each_at, each_struct
+from corpuslab.session import lookup
 
 _OPEN, _CLOSE = chr(1), chr(2)
 
@@ -116,7 +117,7 @@ def match_title(terms: DataFrame, titles: DataFrame, keys: list[str], term: str
     index = title_words(titles)
     words = F.array_distinct(tx.split_whitespace(F.lower(tx.letters_only(F.col(term)))))
     # only keys and words travel; the term's text stays with its own row
-    found = each(terms, words, "word", *keys).join(index, "word")
+    found = each(terms, words, "word", *keys).join(lookup(index), "word")
     hit = F.struct("titles", "word", "best_title", "best_key")
     best = found.groupBy(*keys).agg(F.min(hit).alias("b"))
     return terms.select(*keys, term).join(best, keys, "left").select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpuslab.operators.ordering import SHORT_HEAD, dense_index, head
 from corpuslab.operators.stats import word_frequencies
 from corpuslab.operators.unnest import each
-from corpuslab.session import cut_lineage
+from corpuslab.session import cut_lineage, lookup
 
 
 def document_count(rows: DataFrame) -> Column:
@@ -56,7 +56,7 @@ def bag_of_words(
 ) -> DataFrame:
     """(key, word_id, n); words outside the vocabulary are ignored."""
     counted = postings(rows, key, words)
-    return counted.join(vocab.select("word", "word_id"), "word").select(key, "word_id", "n")
+    return counted.join(lookup(vocab.select("word", "word_id")), "word").select(key, "word_id", "n")
 
 
 def id_to_word(bags: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -79,9 +79,8 @@ def weigh(rows: DataFrame, idf: DataFrame, key: str = "doc_id", words: str = "wo
     Only idf values travel to the postings; the norm is a window over one
     document, which is never more than the words of one row.
     """
-    raw = postings(rows, key, words).join(idf.select("word", "idf"), "word").withColumn(
-        "raw", F.col("n") * F.col("idf")
-    )
+    table = lookup(idf.select("word", "idf"))
+    raw = postings(rows, key, words).join(table, "word").withColumn("raw", F.col("n") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
     return raw.withColumn("weight", F.col("raw") / F.nullif(length, F.lit(0.0))).drop("raw")
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "corpuslab", master: str | None = None, **conf: str) -> SparkSession:
@@ -72,3 +73,29 @@ def by_key(df: DataFrame, *keys: str) -> DataFrame:
     document (counts, norms, ranks, sums) then finds its rows in place.
     """
     return df.repartition(*keys)
+
+
+# Largest lookup table that is sent to every executor.
+BROADCAST_BYTES = 128 << 20
+
+
+def _cell_bytes(name: str, kind: str) -> Column:
+    column = F.col(f"`{name}`")
+    if kind == "string":
+        return F.octet_length(column)
+    if kind.startswith("array"):
+        return F.size(column) * 16
+    return F.lit(16)
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """A table that single words or pairs are looked up in.
+
+    The table is written and its bytes are added up. Below the limit it is
+    marked for broadcast, so the rows that look words up are not shuffled by
+    word at all; above it Spark joins by shuffle and splits hot words.
+    """
+    written = cut_lineage(df)
+    row = sum((F.coalesce(_cell_bytes(n, t), F.lit(0)) for n, t in written.dtypes), F.lit(16))
+    size = written.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    return F.broadcast(written) if size <= BROADCAST_BYTES else written
