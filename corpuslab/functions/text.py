@@ -99,6 +99,11 @@ def good_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+|[!?]"), F.lit(0))
 
 
+def plain_words(text: Column) -> Column:
+    """``word_tokens`` of a lower-case text without the punctuation, in one pass."""
+    return F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0))
+
+
 def ascii_fold(text: Column) -> Column:
     return F.regexp_replace(text, NON_ASCII, "")
 

@@ -25,9 +25,21 @@ def vocabulary_bounds(
     words: str = "words",
 ) -> DataFrame:
     """(word, cf, df) within document-frequency bounds, the ``keep`` strongest by ``by``."""
-    bounded = word_frequencies(rows, words).filter(
-        (F.col("df") >= min_df) & (F.col("df") <= max_share * document_count(rows))
+    return bound_vocabulary(
+        word_frequencies(rows, words), document_count(rows), min_df, max_share, keep, by
     )
+
+
+def bound_vocabulary(
+    frequencies: DataFrame,
+    n_docs: Column,
+    min_df: int = 1,
+    max_share: float = 1.0,
+    keep: int | None = None,
+    by: str = "df",
+) -> DataFrame:
+    """As above from a (word, cf, df) table that is already there."""
+    bounded = frequencies.filter((F.col("df") >= min_df) & (F.col("df") <= max_share * n_docs))
     if keep is None:
         return bounded
     if keep > SHORT_HEAD:

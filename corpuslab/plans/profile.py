@@ -12,6 +12,7 @@ from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, parts
 from corpuslab.plans.tables import MASKED, good
+from corpuslab.session import cut_lineage
 from corpuslab.sources.readers import read_table
 
 AUTHORS = ["de", "en", "es", "fr"]
@@ -244,6 +245,7 @@ def _bounds_sql() -> str:
 @query("vocabulary_bounds", _bounds_sql())
 def vocabulary_bounds(spark, sf):
     rows = data.words(spark, sf)
+    frequencies, n_docs = cut_lineage(stats.word_frequencies(rows)), weights.document_count(rows)
     variants = {
         "headlines": dict(min_df=15, max_share=0.5, keep=100_000),
         "authors": dict(min_df=3, max_share=0.8),
@@ -251,7 +253,7 @@ def vocabulary_bounds(spark, sf):
         "messages": dict(min_df=10),
     }
     frames = [
-        weights.vocabulary_bounds(rows, **bounds).select(F.lit(name).alias("variant"), "word", "cf", "df")
+        weights.bound_vocabulary(frequencies, n_docs, **bounds).select(F.lit(name).alias("variant"), "word", "cf", "df")
         for name, bounds in variants.items()
     ]
     return tables.append_rows(*frames)
