@@ -20,7 +20,10 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, db, name):
-    got = contract.queries()[name](spark, SF).toPandas()
+    frame = contract.queries()[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    got = frame.toPandas()
     want = db.execute(ORACLES[name]).df()
     assert compare(got, want).startswith("ok")
 
@@ -32,3 +35,18 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == ["doc_id", "rank", "word", "weight"] and rows.count() > 0
+
+
+def test_scans_read_only_the_columns_they_need(spark):
+    plan = contract.queries()["docs_by_author"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(lang,fr)" in plan
+    assert "ReadSchema: struct<doc_id:bigint,lang:string,n_chars:bigint>" in plan
+    words = contract.queries()["doc_frequency"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in words
+
+
+def test_flagship_moves_texts_once(spark):
+    """Texts are placed by document; counting, norm and rank then need no further shuffle."""
+    plan = contract.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    body = plan.split("Subquery")[0]
+    assert body.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in body
