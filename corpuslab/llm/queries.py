@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuslab.llm import quality, substrings
+from corpuslab.llm import packing, pii, quality, store, substrings, tokenfiles, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,12 @@ def op3_quality_rules(spark, sf_dir):
     )
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _words_sql() -> str:
     return r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -82,3 +89,40 @@ def op4_substring_dedup(spark, sf_dir):
     return substrings.repeated_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256"
     )
+
+
+@_query
+def op9_url_filters(spark, sf_dir):
+    """Verdict on the address of every page; a page's label is that of the document its address names."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(urlfilter.path_of(F.col("url")), "/([0-9]{1,18})(\\.html)?/?$", 1)
+    labels = (
+        pages.select("page_id", F.when(number != "", number.cast("bigint")).alias("doc_id"))
+        .join(table(spark, sf_dir, "labels"), "doc_id")
+        .select("page_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    )
+    return urlfilter.judge(pages, labels)
+
+
+@_query
+def op6_token_files(spark, sf_dir):
+    """Ids of every document, written to token files and read back from them."""
+    path = store.new_path(spark, "token-files")
+    tokenfiles.write(table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=1)
+    return tokenfiles.read(spark, path, digest=True)
+
+
+@_query
+def op8_best_fit_packing(spark, sf_dir):
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+    return packing.pack(pieces)
+
+
+@_query
+def op10_personal_data(spark, sf_dir):
+    """Counts, digest and spans of the personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.span_text(F.col("spans")).alias("spans")
+    )
