@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslab.llm import packing, pii, quality, store, substrings, tokenfiles, urlfilter
+from corpuslab.llm import (
+    decontam, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter,
+)
+from corpuslab.session import lookup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +129,22 @@ def op10_personal_data(spark, sf_dir):
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.span_text(F.col("spans")).alias("spans")
     )
+
+
+@_query
+def op5_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark passage, with the item and the extent of the overlap."""
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    labelled = docs.filter(F.octet_length("text") <= toxicity.Settings.most_bytes).join(lookup(labels), "doc_id")
+    model = toxicity.train(labelled.withColumnRenamed("doc_id", "key"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
