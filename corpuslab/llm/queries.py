@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.llm import (
-    decontam, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter,
+    decontam, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter,
 )
 from corpuslab.session import lookup
 
@@ -148,3 +148,10 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@_query
+def op1_minhash_near_dedup(spark, sf_dir):
+    """Group of near copies of every document."""
+    groups = minhash.duplicate_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "class_id", "n_copies", "kept")
