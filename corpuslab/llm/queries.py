@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.llm import (
-    decontam, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter,
+    decontam, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter, wrappers,
 )
 from corpuslab.session import lookup
 
@@ -155,3 +155,9 @@ def op1_minhash_near_dedup(spark, sf_dir):
     """Group of near copies of every document."""
     groups = minhash.duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "class_id", "n_copies", "kept")
+
+
+@_query
+def op2_main_text(spark, sf_dir):
+    """Main text of every page."""
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
