@@ -33,7 +33,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _pieces(tokenizer: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer)
-        for batch in hx.slices(batches, "text"):
+        for batch in hx.slices(batches, "text", 4 << 20):
             ids, bounds = encoder.with_end(batch.column("text"), end_id)
             lengths = np.diff(bounds)
             parts = -(-lengths // capacity)

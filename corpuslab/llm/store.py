@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folder: str | None = None
 
@@ -46,3 +47,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def least_hashed(df: DataFrame, column: str, most: int) -> DataFrame:
+    """The ``most`` rows with the least values of ``column``.
+
+    Tasks send their least values alone; the rows are picked by the value that
+    ends the list, so that no task sends rows that are dropped again.
+    """
+    last = df.select(column).orderBy(column).limit(most).agg(F.max(column)).first()[0]
+    return df.filter(F.col(column) <= last).orderBy(column).limit(most)

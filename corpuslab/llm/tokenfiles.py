@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 
 from corpuslab.llm import hashing as hx
 from corpuslab.llm.encode import WordEncoder
+from corpuslab.llm.store import least_hashed
 
 SAMPLE_DOCS = 1_000
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 32_768
-BLOCK_DOCS = 512
-BLOCK_BYTES = 1 << 20
+BLOCK_DOCS = 256
+TOGETHER_BYTES = 4 << 20
 
 BLOCKS = (
     "shard int, before long, dict_hash string, width int, first_id long, last_id long, doc_ids array<long>, "
@@ -52,8 +53,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -
     """
     import zstandard
 
-    short = F.octet_length("text").between(1, SAMPLE_BYTES)
-    rows = docs.filter(short).select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_DOCS)
+    short = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES))
+    rows = least_hashed(short.select("text", F.xxhash64("doc_id", "text").alias("h")), "h", SAMPLE_DOCS)
     texts = pa.array([r.text for r in rows.select("text").collect()], pa.string())
     ids, bounds = WordEncoder(tokenizer).with_end(texts, end_id)
     raw = ids.astype(f"<u{width}").tobytes()
@@ -72,11 +73,12 @@ def _blocks(tokenizer: str, end_id: int, width: int, dictionary: bytes):
         named = hashlib.sha256(dictionary).hexdigest()
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=True)
-        for batch in hx.slices(batches, "text", BLOCK_BYTES):
+        for batch in hx.slices(batches, "text", TOGETHER_BYTES):
+            all_ids, all_bounds = encoder.with_end(batch.column("text"), end_id)
+            raw = memoryview(all_ids.astype(f"<u{width}").tobytes())
             for at in range(0, batch.num_rows, BLOCK_DOCS):
                 part = batch.slice(at, BLOCK_DOCS)
-                ids, bounds = encoder.with_end(part.column("text"), end_id)
-                raw = memoryview(ids.astype(f"<u{width}").tobytes())
+                bounds = all_bounds[at : at + part.num_rows + 1]
                 frames = [
                     press.compress(raw[a * width : b * width]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)
                 ]
@@ -89,7 +91,7 @@ def _blocks(tokenizer: str, end_id: int, width: int, dictionary: bytes):
                     "offsets": np.concatenate([[0], np.cumsum([len(f) for f in frames])]).tolist(),
                     "data": b"".join(frames),
                 }], schema=_SCHEMA)
-                before += int(bounds[-1])
+                before += int(bounds[-1] - bounds[0])
 
     return run
 

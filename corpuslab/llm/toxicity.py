@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.llm import hashing as hx
+from corpuslab.llm.store import least_hashed
 
 
 @dataclass(frozen=True)
@@ -204,7 +205,7 @@ def train(labelled: DataFrame, s: Settings = Settings()) -> Model:
              F.xxhash64(F.col("key").cast("string"), "text").alias("h"))
     rows = []
     for label in (False, True):
-        rows += fits.filter(F.col("toxic") == label).orderBy("h", "text").limit(s.most_rows).collect()
+        rows += least_hashed(fits.filter(F.col("toxic") == label), "h", s.most_rows).collect()
     if not rows:
         return fit([""], np.zeros(1, bool), s)
     return fit([r.text for r in rows], np.array([r.toxic for r in rows], bool), s)
