@@ -147,5 +147,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``."""
     slim = judge(docs.withColumnRenamed("q", "__q") if "q" in docs.columns else docs, text)
-    good = slim.filter("q.kept").drop("q")
+    # a filter on the verdict itself would be moved below the steps and repeat their work for every word;
+    # one on a generated column stays where it is
+    good = slim.withColumn("__kept", F.explode_outer(F.array("q.kept"))).filter("__kept").drop("q", "__kept")
     return good.withColumnRenamed("__q", "q") if "q" in docs.columns else good

@@ -51,6 +51,11 @@ def test_filter_keeps_columns(spark):
     assert [(r.doc_id, r.q) for r in out.collect()] == [(1, 7), (1, 7)]
 
 
+def test_filter_stays_above_the_steps(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"the w{i}" for i in range(40_000)))], "doc_id long, text string")
+    assert quality.keep_good(docs).count() == 1  # takes minutes if words are split again for every word
+
+
 def test_empty_table_and_no_python(spark):
     out = quality.judge(spark.createDataFrame([], "doc_id long, text string"))
     assert out.count() == 0
