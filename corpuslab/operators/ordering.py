@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuslab.session import cut_lineage
+from corpuslab.session import cut_lineage, lookup
 
 # monotonically_increasing_id keeps the position within a partition in its
 # lower 33 bits.
@@ -53,7 +53,7 @@ def index_within(
     placed = dense_index(df, [group, *order], "_global")
     first = placed.groupBy(group).agg(F.min("_global").alias("_first"))
     return (
-        placed.join(first, group)
+        placed.join(lookup(first), group)
         .withColumn(name, F.col("_global") - F.col("_first"))
         .drop("_global", "_first")
     )
@@ -62,7 +62,7 @@ def index_within(
 def head(
     df: DataFrame, n: int, *order: Column | str, leading: Column | None = None
 ) -> DataFrame:
-    """The first ``n`` rows in a total order.
+    """The first ``n`` rows in a total order, in that order.
 
     A short head is a top-n: each task keeps n rows. A long one would send n
     rows per task to a single task, so it is cut by distributed position
@@ -74,7 +74,7 @@ def head(
         return df.orderBy(*order).limit(n)
     total = df.count()
     if total <= n:
-        return df
+        return df.orderBy(*order)
     if leading is not None:
         share = min(1.0, n / total + 0.001)
         bound = df.agg(F.percentile_approx(leading, share, 10_000)).first()[0]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
 from corpuslab.operators.unnest import each, each_struct
+from corpuslab.session import lookup
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -93,11 +94,11 @@ def word_counts_by_author(
 ) -> DataFrame:
     """Counts of the ``top`` words per author, with running sums over the authors.
 
-    ``words_by_author`` has (author, words). ``top`` is a short, capped list, so
-    it is broadcast; words outside it are dropped before any shuffle.
+    ``words_by_author`` has (author, words). Words outside ``top`` are dropped
+    before any shuffle while ``top`` is small enough to be sent to every task.
     """
     single = each(words_by_author, "words", "word", author)
-    kept = single.join(F.broadcast(top.select("word")), "word")
+    kept = single.join(lookup(top.select("word")), "word")
     per_author = [F.count_if(F.col(author) == a).alias(f"n_{a}") for a in authors]
     counts = kept.groupBy("word").agg(*per_author)
     running: Column = F.lit(0).cast("bigint")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
 from corpuslab.operators.ordering import dense_index, index_within
+from corpuslab.session import lookup
 
 
 def select_columns(
@@ -63,7 +64,7 @@ def label_ids(df: DataFrame, label: str, name: str = "label_id") -> DataFrame:
 
 
 def label_encode(df: DataFrame, label: str, name: str = "label_id") -> DataFrame:
-    return df.join(label_ids(df, label, name), label)
+    return df.join(lookup(label_ids(df, label, name)), label)
 
 
 def hash_bucket(key: Column, buckets: int) -> Column:

@@ -123,8 +123,7 @@ def standardize(
             {"_mean": F.col("_stats._mean"), "_dev": F.col("_stats._dev")}
         )
     else:
-        # one row per split
-        placed = df.join(F.broadcast(df.groupBy(per_split).agg(*moments)), per_split)
+        placed = df.join(lookup(df.groupBy(per_split).agg(*moments)), per_split)
     scaled = F.zip_with(
         F.zip_with(F.col(vector), F.col("_mean"), lambda x, m: x - m),
         F.col("_dev"),

@@ -14,6 +14,7 @@ from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, lemma_parts, parts, stem_parts
 from corpuslab.plans.tables import MASKED, SOCIAL_SQL, good
+from corpuslab.session import lookup
 from corpuslab.sources.readers import read_table
 
 
@@ -219,7 +220,7 @@ def _with_label_mean(spark, sf):
     rows = data.embeddings(spark, sf)
     dim = vectors.vector_width(rows)
     centres = vectors.mean_vector_by(rows, "label", dim).select("label", F.col("vector").alias("centre"))
-    return rows.join(centres, "label")
+    return rows.join(lookup(centres), "label")
 
 
 @query(

@@ -12,6 +12,7 @@ from corpuslab.operators.unnest import each, each_struct
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, parts
+from corpuslab.session import lookup
 from corpuslab.sources.readers import literal_corpus, read_table
 
 RAW_LABEL = "CASE WHEN l.quality IS NOT NULL THEN CASE WHEN l.quality = 1 THEN l.toxic * 4 ELSE 2 END END"
@@ -352,7 +353,7 @@ def remove_stopwords(spark, sf):
 def known_words(spark, sf):
     rows = data.words(spark, sf)
     vocab = weights.vocabulary_bounds(rows, min_df=15, max_share=0.5)
-    return tables.membership(weights.postings(rows), vocab.select("word"), "word").select("doc_id", "word", "n")
+    return tables.membership(weights.postings(rows), lookup(vocab.select("word")), "word").select("doc_id", "word", "n")
 
 
 @query("table_shape", "SELECT count(*) AS n_rows, CAST(5 AS BIGINT) AS n_columns FROM documents")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
@@ -13,7 +12,10 @@ from corpuslab.plans.sqlparts import parts
 from corpuslab.sources.readers import read_table
 
 TOP_PHRASES = 20
-RARE_PHRASE = 20
+# the published threshold, and a lower one that small collections reach as well
+RARE_PHRASE, SCARCE_PHRASE = 500, 20
+# bounds of the headline vocabulary: least documents, greatest share of documents, most words
+BAG_BOUNDS = {"min_df": 15, "max_share": 0.5, "keep": 100_000}
 
 _VOCAB_SQL = "(SELECT first || '_' || second AS token, n FROM pairs)"
 
@@ -35,6 +37,12 @@ def drop_rare_phrases(spark, sf):
     return phrases.drop_rare_phrases(counted, RARE_PHRASE)
 
 
+@query("drop_scarce_phrases", parts("pairs") + f"SELECT token, n FROM {_VOCAB_SQL} WHERE n > {SCARCE_PHRASE}")
+def drop_scarce_phrases(spark, sf):
+    counted = phrases.phrase_counts(phrases.phrase_vocab(data.clean(spark, sf)))
+    return phrases.drop_rare_phrases(counted, SCARCE_PHRASE)
+
+
 @query(
     "phrase_scores",
     parts("phrases") + "SELECT first, second, n, round(score, 6) AS score FROM phrases WHERE score > 10",
@@ -132,18 +140,23 @@ def extend_phrase_vocab(spark, sf):
     "phrase_vocabulary",
     parts("pairs")
     + f"SELECT row_number() OVER (ORDER BY n DESC, token) AS rank, token, n FROM {_VOCAB_SQL}"
-    f" WHERE n > {RARE_PHRASE} ORDER BY n DESC, token LIMIT 1000",
+    f" WHERE n > {SCARCE_PHRASE}",
 )
 def phrase_vocabulary(spark, sf):
-    """The kept phrases in order of strength."""
+    """All kept phrases, numbered in order of strength."""
     counted = phrases.phrase_counts(phrases.phrase_vocab(data.clean(spark, sf)), ENGLISH_STOP_WORDS)
-    kept = ordering.head(phrases.drop_rare_phrases(counted, RARE_PHRASE), 1000, F.desc("n"), "token")
-    # at most 1000 rows
-    return kept.select(F.row_number().over(W.orderBy(F.desc("n"), "token")).alias("rank"), "token", "n")
+    kept = phrases.drop_rare_phrases(counted, SCARCE_PHRASE)
+    ranked = ordering.dense_index(kept, [F.desc("n"), "token"], "at")
+    return ranked.select((F.col("at") + 1).alias("rank"), "token", "n")
 
 
-_BAG = """voc AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS word_id FROM (
-             SELECT word FROM freq, nd WHERE df >= 2 AND df <= 0.95 * n_docs ORDER BY cf DESC, word LIMIT 1000))"""
+_BAG = f"""voc AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS word_id FROM (
+             SELECT word FROM freq, nd WHERE df >= {BAG_BOUNDS['min_df']} AND df <= {BAG_BOUNDS['max_share']} * n_docs
+             ORDER BY df DESC, word LIMIT {BAG_BOUNDS['keep']}))"""
+
+
+def _bounded(rows):
+    return weights.word_ids(weights.vocabulary_bounds(rows, **BAG_BOUNDS), capped=False).select("word", "word_id")
 
 
 def _capped(rows):
@@ -157,7 +170,7 @@ def _capped(rows):
 )
 def bag_of_words(spark, sf):
     rows = data.words(spark, sf, per_document=True)
-    return weights.bag_of_words(rows, _capped(rows))
+    return weights.bag_of_words(rows, _bounded(rows))
 
 
 @query(
@@ -166,7 +179,7 @@ def bag_of_words(spark, sf):
 )
 def id_to_word(spark, sf):
     rows = data.words(spark, sf, per_document=True)
-    vocab = _capped(rows)
+    vocab = _bounded(rows)
     return weights.id_to_word(weights.bag_of_words(rows, vocab), vocab)
 
 
