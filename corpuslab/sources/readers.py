@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,8 +110,12 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession | None = None) -> Model:
+    """A stored model of any kind: pipeline, topics, clusters, word vectors, classifier.
+
+    The kind is read from what is stored.
+    """
+    return DefaultParamsReader.loadParamsInstance(path, spark or SparkSession.getActiveSession())
 
 
 def literal_corpus(spark: SparkSession, texts: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:

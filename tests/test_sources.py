@@ -1,5 +1,6 @@
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.clustering import LDA, KMeans
+from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import functions as F
 
 from corpuslab.sources import readers, writers
@@ -89,10 +90,18 @@ def test_vocabulary_and_articles(spark, tmp_path):
 
 
 def test_model_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(["a", "b", "a"],)], "words array<string>")
+    df = spark.createDataFrame([(["a", "b", "a"],), (["b", "c"],)], "words array<string>")
     model = Pipeline(stages=[CountVectorizer(inputCol="words", outputCol="f")]).fit(df)
     writers.save_model(model, str(tmp_path / "m"))
     assert readers.load_model(str(tmp_path / "m")).transform(df).first()["f"] == model.transform(df).first()["f"]
+    counted = model.transform(df)
+    for name, fitted in (
+        ("lda", LDA(featuresCol="f", k=2, seed=1, maxIter=1).fit(counted)),
+        ("kmeans", KMeans(featuresCol="f", k=2, seed=1).fit(counted)),
+        ("vectors", Word2Vec(inputCol="words", outputCol="v", vectorSize=2, minCount=1, seed=1).fit(df)),
+    ):
+        writers.save_model(fitted, str(tmp_path / name))
+        assert type(readers.load_model(str(tmp_path / name))) is type(fitted)
 
 
 def test_literal_corpus(spark):
