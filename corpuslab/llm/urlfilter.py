@@ -156,10 +156,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, tree: Tree = Tree())
         F.sum(F.coalesce((~F.col("good")).cast("int"), F.lit(0))).cast("bigint").alias("bad"),
     )
     placed = templates(counted, tree)
-    good, bad = placed.agg(F.sum("good"), F.sum("bad")).first()
-    share = (good or 0) / (good + bad) if good and good + bad else 1.0
-    if not (good or 0) + (bad or 0):
-        share = 1.0
+    good, bad = (n or 0 for n in placed.agg(F.sum("good"), F.sum("bad")).first())
+    share = good / (good + bad) if good + bad else 1.0
     pure = placed.groupBy("host", "template").agg(
         ((F.sum("good") + tree.weight * share) / (F.sum("good") + F.sum("bad") + tree.weight)).alias("purity")
     )
