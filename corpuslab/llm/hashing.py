@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_MASK = (1 << 64) - 1
+SLICE_BYTES = (1 << 20) - 64  # of text worked on at once; a little below a power of two, which sizes the tables of powers
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 BLANKS = np.zeros(256, bool)
@@ -136,7 +136,7 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64) if h.dtype == U else h
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that the texts of each are at most ``most`` bytes together; a longer text stands alone."""
     for batch in batches:
         if batch.num_rows == 0:
