@@ -216,8 +216,8 @@ def _stemmed(spark, sf):
 
 def _factors(spark, sf):
     rows = _stemmed(spark, sf)
-    vocab = weights.vocabulary_bounds(rows, min_df=3, max_share=0.9, keep=1000)
-    return rows, latent.svd(rows, topics.vocabulary_words(vocab), FACTORS)
+    vocab = weights.vocabulary_bounds(rows, min_df=3, max_share=0.9)
+    return rows, latent.svd(rows, vocab, FACTORS)
 
 
 @query("svd")

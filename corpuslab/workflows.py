@@ -193,13 +193,13 @@ class LatentIndex:
 
 
 def build_latent_index(
-    matrix: DataFrame, k: int = 6, share: float = 0.85, keep: int = 1000
+    matrix: DataFrame, k: int = 6, share: float = 0.85, keep: int | None = None
 ) -> LatentIndex:
     """Index of a (doc_id, term, value) table: positive cells count as 1, ``share`` of the energy is kept."""
     rows = cut_lineage(
         matrix.filter("value > 0").groupBy("doc_id").agg(F.collect_set("term").alias("words"))
     )
-    words = topics.vocabulary_words(weights.vocabulary_bounds(rows, keep=keep))
-    factors = latent.reduce_rank(latent.svd(rows, words, k), share)
+    vocab = weights.vocabulary_bounds(rows, keep=keep)
+    factors = latent.reduce_rank(latent.svd(rows, vocab, k), share)
     folded = latent.fold_in(latent.binary_weights(rows), factors.words, factors.values, factors.k)
     return LatentIndex(factors, cut_lineage(folded))

@@ -85,3 +85,12 @@ def test_latent_index(spark):
     scores = {r["doc_id"]: r["similarity"] for r in ranked}
     assert len(ranked) == 4 and ranked[-1]["similarity"] < 0
     assert abs(scores["d1"] - 0.5) < 1e-6 and abs(scores["d3"] - 0.5) < 1e-6
+
+
+def test_latent_index_holds_every_word(spark):
+    cells = [(f"d{d}", f"term{d}_{i}", 1.0) for d, n in enumerate((500, 350, 250, 100)) for i in range(n)]
+    matrix = spark.createDataFrame([*cells, ("d3", "zebra", 1.0)], "doc_id string, term string, value double")
+    index = workflows.build_latent_index(matrix, k=4, share=1.0)
+    assert index.factors.words.count() == 1201
+    first = index.search("zebra").first()
+    assert first["doc_id"] == "d3" and abs(first["similarity"] - 1) < 1e-6
