@@ -74,6 +74,20 @@ def test_branches_merge_only_while_alike():
     assert names["a"] == names["b"] != names["c"] and "a" in names["a"].split("|")
 
 
+def test_sections_of_a_large_host_are_judged_apart(spark):
+    for sections in (50, 51, 140):
+        at = [(s * 40 + i, s, i) for s in range(sections) for i in range(40)]
+        pages = spark.createDataFrame([(p, f"http://s.edu/sec{s}/{i}") for p, s, i in at], "page_id long, url string")
+        labels = spark.createDataFrame([(p, s % 3 > 0) for p, s, i in at if i < 30], "page_id long, good boolean")
+        got = {r.page_id: r for r in uf.judge(pages, labels).collect()}
+        assert all(got[p].verdict == ("allow" if s % 3 else "block") for p, s, _ in at)
+        assert len({r.template for r in got.values()}) == 2
+        # a label or two for each section do not tell them apart
+        few = spark.createDataFrame([(p, s % 3 > 0) for p, s, i in at if i < 1 + s % 2], "page_id long, good boolean")
+        got = uf.judge(pages, few).collect()
+        assert len({r.template for r in got}) == 1 and all(r.verdict == "allow" for r in got)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert uf.judge(empty, spark.createDataFrame([], "page_id long, good boolean")).count() == 0
