@@ -1,14 +1,17 @@
 """Benchmark passages in training texts, found through spaced seeds.
 
-A seed looks at seven words of a stretch and ignores the rest, as its mask
-says; the four masks together find every 14-word overlap with two replaced
-words. Words are runs of letters and digits, lower-cased. A hit fixes how a
-text and an item lie to each other; their words are then compared along it and
-the best stretch is kept, replaced words included.
+A seed looks at five words of a stretch and ignores the rest, as its mask
+says; the masks together find every stretch with six equal words or more that
+are 70 % of it. Shorter items have masks of their own, down to one word. Words
+are runs of letters and digits, lower-cased. A hit fixes how a text and an item
+lie to each other; their words are then compared along it and every stretch
+that counts is kept, replaced words included.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 
 from corpuslab.llm import hashing as hx
 
-MASKS = ("1111010101", "10001111011", "11001100111", "111101101")
+MASKS = (
+    "11111", "111011", "11010011", "101111", "11010101", "1101011", "1100111", "110111", "1110011", "11100101", "11100011",
+)
 PREFILTER_BITS = 22
 
 
@@ -45,6 +50,18 @@ def _seeds(hashes: np.ndarray, first: np.ndarray, mask: str, no: int) -> tuple[n
     return at, hx.mix(total)
 
 
+def _masks(size: int, how: Overlap) -> tuple[str, ...]:
+    """Masks that find every stretch of an item of ``size`` words that counts."""
+    need = math.ceil(min(how.short, how.part * size) - 1e-9)
+    if need >= 6:
+        return MASKS
+    span, found = min(size, int(need / how.share + 1e-9)), {"1"} if need <= 1 else set()
+    for width in range(max(need, 2), span + 1) if need > 1 else ():
+        for inner in itertools.combinations(range(1, width - 1), need - 2):
+            found.add("".join("1" if i in (0, width - 1, *inner) else "0" for i in range(width)))
+    return tuple(sorted(found))
+
+
 class _Bank:
     """The seeds of a block of benchmark items, sorted by hash."""
 
@@ -52,7 +69,16 @@ class _Bank:
         self.how, self.item_ids = how, item_ids
         words = hx.Words(pa.array(texts, pa.string()), hx.NOT_ALNUM)
         self.hashes, self.first = words.hashes(), words.first
-        found = [_seeds(self.hashes, self.first, m, i) for i, m in enumerate(MASKS)]
+        sizes = np.diff(self.first)
+        wanted: dict[str, list[int]] = {m: [] for m in MASKS}
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            for mask in _masks(size, how):
+                wanted.setdefault(mask, []).append(size)
+        self.masks, found = list(wanted), []
+        for no, (mask, fit) in enumerate(wanted.items()):
+            at, seeds = _seeds(self.hashes, self.first, mask, no)
+            held = np.isin(sizes[np.searchsorted(self.first, at, side="right") - 1], fit)
+            found.append((at[held], seeds[held]))
         at, seeds = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.at = seeds[order], at[order]
@@ -63,7 +89,7 @@ class _Bank:
     def diagonals(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Distinct (text, item, word of the batch on which the item's first word lies) of all hits."""
         out = []
-        for no, mask in enumerate(MASKS):
+        for no, mask in enumerate(self.masks):
             at, seeds = _seeds(hashes, first, mask, no)
             near = np.flatnonzero(self.there[(seeds >> hx.U(64 - PREFILTER_BITS)).astype(np.int64)])
             low = np.searchsorted(self.seeds, seeds[near], side="left")
@@ -83,20 +109,35 @@ class _Bank:
             a, size = self.first[item], self.first[item + 1] - self.first[item]
             low, high = max(0, first[text] - lies), min(size, first[text + 1] - lies)
             same = self.hashes[a + low : a + high] == hashes[lies + low : lies + high]
-            begin, end = _best_stretch(same)
-            equal = int(same[begin:end].sum())
-            whole = self.how.part * size
-            if equal >= min(self.how.short, whole) and equal >= self.how.share * (end - begin):
-                seen = best.setdefault((text, item), [set(), lies + low + begin, 0])
-                seen[0].update((low + begin + np.flatnonzero(same[begin:end])).tolist())
-                seen[1] = min(seen[1], lies + low + begin)
-                seen[2] = max(seen[2], lies + low + end)
+            held = _covered(same, min(self.how.short, self.how.part * size), self.how.share)
+            if len(held):
+                seen = best.setdefault((text, item), [set(), lies + low + held[0], 0])
+                seen[0].update((low + held).tolist())
+                seen[1] = min(seen[1], lies + low + held[0])
+                seen[2] = max(seen[2], lies + low + held[-1] + 1)
         for (text, item), (covered, begin, end) in best.items():
             size = int(self.first[item + 1] - self.first[item])
             if len(covered) >= min(self.how.words, self.how.part * size):
                 yield text, item, len(covered), size, int(begin - first[text]), int(end - first[text])
 
 
+def _covered(same: np.ndarray, least: float, share: float) -> np.ndarray:
+    """Equal words that lie in any stretch with ``least`` equal words and ``share`` of them."""
+    if same.sum() < least:
+        return np.empty(0, np.int64)
+    equal = np.concatenate([[0], np.cumsum(same)])
+    above = equal - share * np.arange(len(equal))
+    # the longest stretch from each word on in which the share holds; a shorter one has no more equal words
+    most = np.maximum.accumulate(above[::-1])
+    begin = np.arange(len(same))
+    end = len(same) - np.searchsorted(most, above[:-1] - 1e-9)
+    good = (end > begin) & (equal[end] - equal[begin] >= least)
+    steps = np.zeros(len(same) + 1, np.int64)
+    np.add.at(steps, begin[good], 1)
+    np.add.at(steps, end[good], -1)
+    return np.flatnonzero(same & (np.cumsum(steps[:-1]) > 0))
+
+
 def _best_stretch(same: np.ndarray) -> tuple[int, int]:
     """Bounds of the stretch with the largest surplus of equal over unequal words; the first of several."""
     sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -1))])

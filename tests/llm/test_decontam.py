@@ -90,6 +90,47 @@ def test_test_table(spark):
     assert got == want and got
 
 
+def by_the_rule(text, item, how=decontam.Overlap()):
+    """Covered words of the item over all stretches of all diagonals."""
+    covered = set()
+    for lies in range(-len(item), len(text)):
+        at = range(max(0, -lies), min(len(item), len(text) - lies))
+        equal = [i for i in at if item[i] == text[lies + i]]
+        for a, b in itertools.combinations_with_replacement(range(len(equal)), 2):
+            n = b - a + 1
+            if n >= min(how.short, how.part * len(item)) and n >= how.share * (equal[b] - equal[a] + 1):
+                covered |= set(equal[a : b + 1])
+    return len(covered) if covered and len(covered) >= min(how.words, how.part * len(item)) else 0
+
+
+def test_every_accepted_pattern_has_a_mask():
+    fits = [[i for i, c in enumerate(m) if c == "1"] for m in decontam.MASKS]
+    for size in range(6, 17):
+        for n in range(max(6, -(-7 * size // 10)), size + 1):
+            for inner in itertools.combinations(range(1, size - 1), n - 2):
+                ones = {0, size - 1, *inner}
+                assert any({p + i for i in m} <= ones for m in fits for p in range(size - m[-1]))
+
+
+def test_short_items_heavy_edits_and_split_items(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [rng.sample(vocabulary, n) for n in [*range(1, 18), 24, 40]]
+    texts = []
+    for item in items * 6:
+        passage = list(item)
+        for at in rng.sample(range(len(passage)), rng.randint(0, len(passage) * 3 // 10)):
+            passage[at] = "other"
+        texts.append(rng.sample(vocabulary, 10) + passage + rng.sample(vocabulary, 10))
+    # the middle was replaced by as many words: two stretches on one diagonal
+    texts.append([*items[-1][:8], *["x"] * 24, *items[-1][32:]])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_matched for r in decontam.overlaps(docs, bench).collect()}
+    want = {(d, i): n for d, t in enumerate(texts) for i, x in enumerate(items) if (n := by_the_rule(t, x))}
+    assert got == want and {i for _, i in got} == set(range(len(items))) and got[len(texts) - 1, len(items) - 1] == 16
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     full = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
