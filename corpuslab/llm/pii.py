@@ -35,7 +35,13 @@ _DIGITS = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _EDGES = frozenset(" \t\n\r\x0b\x0c\"'<>()[]{},;=:|`")
-SHORTEST, LONGEST, REACH = 6, 80, 48
+# what the bootstrap may name besides tokens with a digit or @: digit groups, and addresses with a written-out at
+_MARKS = re.compile(r"[0-9@]+")
+_GROUPS = re.compile(r"(?<!\w)[(]?[0-9]++(?:[\x20()./-]{1,3}[0-9]++)++(?!\w)")
+_AT = re.compile(r"\x20?@\x20?|[\[({<]\x20?[aA][tT]\x20?[\])}>]\x20?|\x20[aA][tT]\x20")
+_DOT = r"(?:\.|\x20?[\[({<]\x20?[dD][oO][tT]\x20?[\])}>]\x20?|\x20[dD][oO][tT]\x20)"
+_HOST = re.compile(rf"[\w-]++(?:{_DOT}[\w-]++)*{_DOT}[^\W\d_]{{2,}}+")
+SHORTEST, REACH = 6, 48
 
 
 @dataclass(frozen=True)
@@ -112,11 +118,10 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def _other_tokens(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """Spans of tokens with a digit, of fitting length, that no base identifier touches."""
-    done, i = 0, 0
-    spans = sorted((a, b) for _, a, b in taken)
-    for m in _DIGITS.finditer(text):
+def _marked(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of tokens with a digit or an @."""
+    done = 0
+    for m in _MARKS.finditer(text):
         if m.start() < done:
             continue
         start, end = m.span()
@@ -127,9 +132,39 @@ def _other_tokens(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tupl
         done = end
         while text[end - 1] in ".!?" and end > start:
             end -= 1
+        yield start, end
+
+
+def _written_out(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of a name, an at sign or word, and a host with signs or words for its dots."""
+    done, m = 0, _AT.search(text)
+    while m:
+        stop = m.start()
+        if stop > done and text[stop - 1] == " ":
+            stop -= 1
+        start = stop
+        while start > done and text[start - 1] not in _EDGES:
+            start -= 1
+        host = _HOST.match(text, m.end()) if start < stop else None
+        done = m.end()
+        if host:
+            done = host.end()
+            yield start, done
+        # the blank behind one at may stand before the next
+        m = _AT.search(text, done - 1 if text[done - 1] == " " and done - 1 > m.start() else done)
+
+
+def _other_tokens(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans of every shape that identifiers have and that no base identifier touches: tokens with a digit or an @,
+    runs of digit groups, and written-out addresses; of those with the same start the longest."""
+    longest: dict[int, int] = {}
+    for start, end in (*_marked(text), *(m.span() for m in _GROUPS.finditer(text)), *_written_out(text)):
+        longest[start] = max(end, longest.get(start, 0))
+    i, spans = 0, sorted((a, b) for _, a, b in taken)
+    for start, end in sorted(longest.items()):
         while i < len(spans) and spans[i][1] <= start:
             i += 1
-        if SHORTEST <= end - start <= LONGEST and not (i < len(spans) and spans[i][0] < end):
+        if SHORTEST <= end - start and not (i < len(spans) and spans[i][0] < end):
             yield start, end
 
 

@@ -82,6 +82,32 @@ def test_bootstrap_finds_what_no_expression_knows(spark):
     assert all(got[i] == [] for i in range(31, len(rows))) and all(len(got[i]) == 1 for i in range(30))
 
 
+def test_bootstrap_names_every_shape(spark):
+    rng = random.Random(2)
+    rows = [f"Then call me at +1 (212) 555-{1000 + i} soon" for i in range(30)]
+    rows += [f"mail goes to user{i}@host.org today" for i in range(30)]
+    cards = [n for n in (str(rng.randrange(10**15, 10**16)) for _ in range(600)) if luhn(n)][:30]
+    rows += [f"the account number {c} was used" for c in cards]
+    hidden = [("phone", "call me at {} soon", x) for x in ("0176 555 123", "(030) 123 4567", "5550199-22")]
+    hidden += [("email", "mail goes to {} today", x) for x in (
+        "hans@exämple.de", "jane[at]host.org", "jane (at) host (dot) org", "jane at host dot org", "jane@host [dot] org",
+        "x" * 90 + "@exämple.de")]
+    hidden += [("card", "the account number {} was used", x) for x in ("1234 5678 9012 3456", "1" * 85)]
+    plain_rows = ["we met at home and dot the line", "he looked at it 3 times"]
+    first = len(rows)
+    texts = rows + [t.format(x) for _, t, x in hidden] + plain_rows
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(docs).collect()}
+    for i, (kind, t, x) in enumerate(hidden, first):
+        assert got[i] == [(kind, t.index("{}"), t.index("{}") + len(x))], texts[i]
+    assert got[len(texts) - 1] == got[len(texts) - 2] == []
+
+
+def test_long_candidates_take_linear_time():
+    for text in ("jane at " * 40_000, "1 (" * 100_000, "a[at]" * 60_000, "@a.b " * 60_000, "x@" + "a." * 100_000, " at " * 80_000):
+        list(pii._other_tokens(text, []))
+
+
 def test_one_value_copied_often_proves_nothing(spark):
     rows = ["call me at +1 (212) 555-1000 soon"] * 50 + ["call me at 5550199-22 soon"]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
