@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.llm import (
-    decontam, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter, wrappers,
+    decontam, interaction, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter, wrappers,
 )
 from corpuslab.session import lookup
 
@@ -161,3 +161,49 @@ def op1_minhash_near_dedup(spark, sf_dir):
 def op2_main_text(spark, sf_dir):
     """Main text of every page."""
     return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op11_filter_interaction(spark, sf_dir):
+    """What each of five filters removes from every source, in every order."""
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_interaction"] = rf"""WITH RECURSIVE base AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_words_sql()} AS words FROM documents),
+    first AS (SELECT text, min(doc_id) AS first_id FROM base GROUP BY text),
+    known AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    docs AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+                   WHEN 'A' THEN len(words) < 50
+                   WHEN 'B' THEN 100 * len(list_distinct(words)) < 65 * len(words)
+                   WHEN 'C' THEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text)
+                   WHEN 'D' THEN regexp_matches(text, '[#$%&*|]')
+                   ELSE coalesce(doc_id > first_id, false) END) AS fails
+        FROM base JOIN first USING (text) LEFT JOIN known USING (doc_id)),
+    cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+              FROM docs GROUP BY part, fails),
+    orders AS (
+        SELECT '' AS filter_order, ['A', 'B', 'C', 'D', 'E'] AS rest
+        UNION ALL
+        SELECT filter_order || f, list_filter(rest, lambda x: x <> f) FROM (SELECT *, unnest(rest) AS f FROM orders)),
+    steps AS (SELECT filter_order, step, filter_order[step] AS f,
+                     list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: contains(filter_order[1:step - 1], x)) AS earlier
+              FROM orders, range(1, 6) AS r(step) WHERE len(rest) = 0),
+    played AS (
+        SELECT part, filter_order, step, f,
+               coalesce(sum(n) FILTER (NOT list_has_any(fails, earlier || [f])), 0) AS kept,
+               coalesce(sum(n) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0) AS removed,
+               coalesce(sum(n) FILTER (list_contains(fails, f) AND list_has_any(fails, earlier)), 0) AS redundant,
+               coalesce(sum(n) FILTER (fails = [f]), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0) AS good_lost,
+               coalesce(sum(toxic) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0)
+                   AS toxic_lost
+        FROM cells, steps GROUP BY ALL)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+           CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM played"""
