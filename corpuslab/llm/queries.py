@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.llm import (
-    decontam, interaction, minhash, packing, pii, quality, store, substrings, tokenfiles, toxicity, urlfilter, wrappers,
+    decontam, interaction, minhash, packing, passages, pii, quality, store, substrings, tokenfiles, toxicity, trie,
+    urlfilter, wrappers,
 )
 from corpuslab.session import lookup
 
@@ -207,3 +208,66 @@ ORACLES["op11_filter_interaction"] = rf"""WITH RECURSIVE base AS (
            CAST(toxic_lost AS BIGINT) AS toxic_lost,
            CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
     FROM played"""
+
+
+@_query
+def op12_conversation_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+# the reflected CRC-32, one step for each character and eight for its bits
+_CRC32_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] "
+    "FOR ch IN string_split(conv_id::VARCHAR, '')])), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) "
+    "ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"
+)
+
+ORACLES["op12_conversation_trie"] = rf"""WITH t AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, ''))
+                   AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, conv_id - conv_id % 20 AS base_id, {_CRC32_SQL} % 4 AS h, count(*) AS turns
+            FROM t GROUP BY conv_id),
+    plan AS (SELECT o.conv_id, o.base_id, o.h, least(o.h, coalesce(b.turns, 0)) AS k,
+                    least(o.h, coalesce(b.turns, 0)) + greatest(o.turns - o.h, 0) AS length
+             FROM own o LEFT JOIN own b ON b.conv_id = o.base_id),
+    rebuilt AS (
+        SELECT p.conv_id, t.pos AS depth, role, text FROM plan p JOIN t ON t.conv_id = p.base_id AND t.pos <= p.h
+        UNION ALL
+        SELECT p.conv_id, t.pos - p.h + p.k, role, text FROM plan p JOIN t ON t.conv_id = p.conv_id AND t.pos > p.h),
+    prefixes AS (
+        SELECT conv_id, 0 AS depth, CAST([] AS STRUCT(role VARCHAR, text VARCHAR)[]) AS path, 0 AS n_words FROM plan
+        UNION ALL
+        SELECT conv_id, depth, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY depth),
+               len({_words_sql()})
+        FROM rebuilt),
+    nodes AS (
+        SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(n_words) AS n_words,
+               count(*) FILTER (depth = length) AS n_ends,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), ''))
+                   AS ends_sha256
+        FROM prefixes JOIN plan USING (conv_id) GROUP BY depth, path),
+    children AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes
+                 WHERE depth > 0 GROUP BY ALL),
+    below AS (
+        SELECT p.depth, p.path, count(*) FILTER (m.n_ends = m.n_convs) AS n_leaves,
+               sum((m.n_convs - 1) * m.n_words) AS saved_tokens
+        FROM nodes m JOIN prefixes p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY p.depth, p.path)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN below b ON b.depth = n.depth AND b.path = n.path
+    LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path
+    LEFT JOIN nodes u ON n.depth > 0 AND u.depth = n.depth - 1 AND u.path = n.path[1:n.depth - 1]"""
+
+
+@_query
+def op13_quality_classifier(spark, sf_dir):
+    """Quality of every document, learnt from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", (F.col("quality") == 1).alias("good"))
+    return passages.score(docs, passages.train(docs, labels)).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
