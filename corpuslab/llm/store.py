@@ -37,7 +37,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
     Lineage ends here: an executor that is lost later costs no recomputation of
@@ -45,7 +45,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
