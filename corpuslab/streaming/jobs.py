@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpuslab.operators.similarity import best_intent, nearest_rows
+from corpuslab.operators.similarity import VectorIndex, best_intent, build_index
 from corpuslab.operators.web import page_quotes
+from corpuslab.session import cut_lineage
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 UTTERANCE_SCHEMA = "query_id bigint, text string"
@@ -38,17 +39,22 @@ def stream_intents(
     labelled: DataFrame,
     vectorize: Callable[[DataFrame], DataFrame],
     intent: str = "intent",
+    index: VectorIndex | None = None,
 ) -> StreamingQuery:
     """Score each batch of utterances against a static labelled table.
 
-    The best row is an aggregate within one utterance, so it is taken per
-    batch and no state is kept. The batch number names the output folder, so a
-    batch that runs again replaces its own rows.
+    The labelled vectors are grouped, measured and indexed once, before the
+    stream starts; ``index`` takes one that is there already (for instance
+    ``open_index`` of a stored version). The best row is an aggregate within
+    one utterance, so it is taken per batch and no state is kept. The batch
+    number names the output folder, so a batch that runs again replaces its own
+    rows.
     """
+    ready = index or build_index(labelled)
+    intents = cut_lineage(labelled.select("stored_id", intent))
 
     def score(batch: DataFrame, number: int) -> None:
-        matches = nearest_rows(vectorize(batch), labelled, k=1)
-        found = best_intent(matches, labelled, intent)
+        found = best_intent(ready.nearest(vectorize(batch)), intents, intent)
         found.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     utterances = spark.readStream.schema(UTTERANCE_SCHEMA).parquet(source)

@@ -131,9 +131,10 @@ def classify_authors(
 
 @dataclass(frozen=True)
 class IntentIndex:
-    """Labelled vectors (stored_id, vector, intent), word vectors, words for spelling."""
+    """Labelled vectors (stored_id, vector, intent) and their index, word vectors, words for spelling."""
 
     labelled: DataFrame
+    index: similarity.VectorIndex
     word_vectors: DataFrame
     dim: int
     spelling: DataFrame | None = None
@@ -149,8 +150,7 @@ class IntentIndex:
 
     def answer(self, utterances: DataFrame) -> DataFrame:
         """(query_id, stored_id, intent, similarity) of the best labelled row."""
-        matches = similarity.nearest_rows(self.vectorize(utterances), self.labelled)
-        return similarity.best_intent(matches, self.labelled)
+        return similarity.best_intent(self.index.nearest(self.vectorize(utterances)), self.labelled)
 
 
 def build_intent_index(
@@ -164,7 +164,8 @@ def build_intent_index(
     rows = utterances.select("stored_id", tx.clean_utterance(F.col("query")).alias("words"))
     means = vectors.mean_word_vectors(rows, word_vectors, dim, "stored_id")
     labelled = means.select("stored_id", "vector").join(utterances.select("stored_id", "intent"), "stored_id")
-    return IntentIndex(cut_lineage(labelled), word_vectors, dim, spelling)
+    labelled = cut_lineage(labelled)
+    return IntentIndex(labelled, similarity.build_index(labelled), word_vectors, dim, spelling)
 
 
 # Word vectors of a folder of texts

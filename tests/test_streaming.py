@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
-from corpuslab.operators import vectors
+from corpuslab.operators import similarity, vectors
 from corpuslab.streaming import jobs
 
 
@@ -34,3 +34,27 @@ def test_intent_stream_scores_each_batch(spark, tmp_path):
     jobs.stream_intents(spark, source, sink, check, labelled, vectorize).awaitTermination()
     got = {r["query_id"]: r["intent"] for r in spark.read.parquet(sink).collect()}
     assert got == {1: "opening", 2: "closing"}
+
+
+def test_labelled_side_is_prepared_once(spark, tmp_path, monkeypatch):
+    """Batches read the index: the labelled rows are grouped once, before the stream, whatever the batches."""
+    source, sink, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    labelled = spark.createDataFrame(
+        [(10, [1.0, 0.1], "opening"), (11, [0.1, 1.0], "closing")], "stored_id long, vector array<double>, intent string"
+    )
+    grouped, made = [], similarity.distinct_vectors
+    monkeypatch.setattr(similarity, "distinct_vectors", lambda *a: grouped.append(1) or made(*a))
+
+    def vectorize(batch):
+        return batch.select("query_id", F.array(F.lit(1.0), F.lit(0.0)).alias("vector"))
+
+    for i in range(3):
+        asked = spark.createDataFrame([(i, "x")], jobs.UTTERANCE_SCHEMA)
+        asked.coalesce(1).write.mode("append").parquet(source)
+    stored = str(tmp_path / "index")
+    similarity.build_index(labelled).save(stored)
+    index = similarity.open_index(spark, stored)
+    stream = jobs.stream_intents(spark, source, sink, check, labelled, vectorize, index=index)
+    stream.awaitTermination()
+    assert {r["query_id"]: r["intent"] for r in spark.read.parquet(sink).collect()} == {i: "opening" for i in range(3)}
+    assert grouped == [1]

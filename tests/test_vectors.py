@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslab.functions import vectors as vx
-from corpuslab.operators import latent, lexical, ordering, similarity, stats, tables, vectors, weights
+from corpuslab.operators import latent, lexical, ordering, pivot_tree, similarity, stats, tables, vectors, weights
 
 
 @pytest.fixture(scope="module")
@@ -60,8 +60,15 @@ def _cos(a, b):
     return float(np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b)))
 
 
-@pytest.mark.parametrize("block", [7, 1000])
-def test_nearest_rows_equals_brute_force(spark, block):
+# (rows of a leaf, bytes sent whole, queries sent whole): whole tables, few queries, trees of several depths
+WAYS = [(1000, None, 0), (1000, 0, 4096), (1000, 0, 0), (20, 0, 0), (5, 0, 0), (2, 0, 0)]
+
+
+@pytest.mark.parametrize("block,whole,few", WAYS)
+def test_nearest_rows_equals_brute_force(spark, monkeypatch, block, whole, few):
+    monkeypatch.setattr(similarity, "FEW_QUERIES", few)
+    monkeypatch.setattr(pivot_tree, "FAN_OUT", 4)
+    monkeypatch.setattr(pivot_tree, "CHUNK_ROWS", 10)
     stored = _random_vectors(60, 5, 1)
     stored += [(100 + i, stored[3][1]) for i in range(30)]  # copies
     stored.append((999, [0.0] * 5))
@@ -69,7 +76,7 @@ def test_nearest_rows_equals_brute_force(spark, block):
     q = spark.createDataFrame(asked, "query_id long, vector array<double>")
     s = spark.createDataFrame(stored, "stored_id long, vector array<double>")
     got = {}
-    for r in similarity.nearest_rows(q, s, 3, block_rows=block).collect():
+    for r in similarity.nearest_rows(q, s, 3, block_rows=block, whole_bytes=whole).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["stored_id"], round(r["similarity"], 6)))
     distinct = {}
     for i, v in stored:
@@ -83,14 +90,15 @@ def test_nearest_rows_equals_brute_force(spark, block):
         assert sorted(got[i]) == [(n, j, round(-c, 6)) for n, (c, j) in enumerate(best, start=1)]
 
 
-@pytest.mark.parametrize("threshold,block", [(0.9, 8), (0.5, 16), (0.2, 1000)])
-def test_similar_pairs_equals_brute_force(spark, threshold, block):
+@pytest.mark.parametrize("threshold,block,whole", [(0.9, 8, 0), (0.5, 16, 0), (0.2, 1000, 0), (0.5, 16, None), (-1, 4, 0)])
+def test_similar_pairs_equals_brute_force(spark, monkeypatch, threshold, block, whole):
+    monkeypatch.setattr(pivot_tree, "FAN_OUT", 4)
     rows = _random_vectors(90, 6, 3)
     rows += [(200 + i, rows[5][1]) for i in range(45)]  # a third are copies of one row
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
     got = {
         (r["a"], r["b"]): (round(r["similarity"], 6), r["copies_a"], r["copies_b"])
-        for r in similarity.similar_pairs(df, threshold, block_rows=block).collect()
+        for r in similarity.similar_pairs(df, threshold, block_rows=block, whole_bytes=whole).collect()
     }
     want = {}
     for i, (a, v) in enumerate(rows[:90]):
@@ -101,6 +109,62 @@ def test_similar_pairs_equals_brute_force(spark, threshold, block):
     assert got == want
 
 
+def test_tree_leaves_out_what_cannot_match(spark, monkeypatch):
+    """Rows in tight groups: a query is sent to few leaves, and rows per query stay flat when rows double."""
+    monkeypatch.setattr(pivot_tree, "CHUNK_ROWS", 500)
+    rng = np.random.default_rng(8)
+    visits = []
+    for n in (600, 1200):
+        centres = rng.normal(size=(n // 30, 16))
+        rows = [(i, [float(x) for x in centres[i % len(centres)] + 0.02 * rng.normal(size=16)]) for i in range(n)]
+        df = spark.createDataFrame(rows, "stored_id long, vector array<double>")
+        index = similarity.build_index(df, block_rows=40, whole_bytes=0)
+        asked = index.rows.select("id", "vector", F.lit(0.2).alias("bound"), F.lit("").alias("node"))
+        reached = pivot_tree._descend(index.tree, asked, greedy=False)
+        visits.append(reached.count() / n)
+        assert index.tree.rows.groupBy("node").count().agg(F.max("count")).first()[0] <= 40
+        assert index.tree.rows.count() == n
+    assert max(visits) < 4 and visits[1] < visits[0] * 1.3
+
+
+def test_tree_of_rows_that_lie_evenly(spark, monkeypatch):
+    """Vectors at equal angles cannot be told apart by pivots; the tree still ends and finds all."""
+    monkeypatch.setattr(pivot_tree, "FAN_OUT", 3)
+    monkeypatch.setattr(pivot_tree, "MOST_LEVELS", 2)
+    rows = [(i, [float(i == j) for j in range(40)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "stored_id long, vector array<double>")
+    got = similarity.nearest_rows(df.withColumnRenamed("stored_id", "query_id"), df, 2, block_rows=2, whole_bytes=0).collect()
+    want = {(i, r): j for i in range(40) for r, j in ((1, i), (2, 1 if i == 0 else 0))}
+    assert {(r.query_id, r["rank"]): r.stored_id for r in got} == want
+
+
+def test_stored_index_has_versions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(similarity, "FEW_QUERIES", 0)
+    rows = _random_vectors(50, 4, 6)
+    df = spark.createDataFrame(rows, "stored_id long, vector array<double>")
+    asked = df.limit(9).withColumnRenamed("stored_id", "query_id")
+    path = str(tmp_path / "index")
+    assert similarity.build_index(df, block_rows=6, whole_bytes=0).save(path) == 1
+    more = df.unionByName(spark.createDataFrame([(77, rows[0][1])], df.schema))
+    assert similarity.build_index(more.filter("stored_id <> 0")).save(path) == 2
+    old, new = similarity.open_index(spark, path, 1), similarity.open_index(spark, path)
+    assert old.tree is not None and new.tree is None and (old.n, new.n) == (50, 50)
+    best = {r.query_id: r.stored_id for r in old.nearest(asked).collect()}
+    assert best == {i: i for i in range(9)}
+    assert {r.query_id: r.stored_id for r in new.nearest(asked).collect()} == {**best, 0: 77}
+    with pytest.raises(ValueError):
+        similarity.open_index(spark, path, 3)
+
+
+def test_search_in_nothing(spark):
+    df = spark.createDataFrame([], "stored_id string, vector array<double>")
+    asked = spark.createDataFrame([("a", [1.0, 0.0])], "query_id string, vector array<double>")
+    assert similarity.nearest_rows(asked, df).count() == 0
+    assert similarity.similar_pairs(df, 0.5, key="stored_id").count() == 0
+    words = spark.createDataFrame([("x", [1.0, 0.1]), ("y", [0.0, 1.0])], df.schema)
+    assert [r.stored_id for r in similarity.nearest_rows(asked, words).collect()] == ["x"]
+
+
 def test_nearest_words(spark):
     rows = [("a", [1.0, 0.0]), ("b", [1.0, 0.1]), ("c", [0.0, 1.0]), ("d", [-1.0, 0.0])]
     df = spark.createDataFrame(rows, "word string, vector array<double>")
