@@ -9,11 +9,12 @@ more with probability above 0.9995; every link is then checked by the exact
 similarity of the whole texts.
 
 Copies of a text are one node. Inside a band's bucket no pair list is made:
-members are compared to a few hubs (those that meet most others), and members
-that a path of links joins to a hub are done. The rest, texts that share little
-more than a common passage, is compared block by block inside the tasks, sample
-by sample; only pairs that agree come out. Members just outside a hub's reach are compared to the hub's followers as well,
-because only they can be close to one of them (the distance is a metric).
+members are compared to a few hubs first (those that meet most others), and
+links to them join most of a group. What is left of a bucket, the members that
+are not in its largest group, is compared with all its members of other groups,
+block by block inside the tasks: by samples first, then, where samples agree,
+by whole texts. A block gives out only the links that join two groups, so what
+moves grows with the members and not with their pairs.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.llm import hashing as hx
@@ -41,7 +41,7 @@ BUCKETS = 1 << 18  # of words, for document frequencies: a table of fixed size
 class Settings:
     """``least``: similarity of a link. ``agree``: samples that must agree before two texts are compared,
     well below what ``least`` lets expect (48 of 60, with a deviation of 3.1). ``block``: members of a bucket that
-    are compared with as many others at once."""
+    are compared with as many others at once, with about ``block_bytes`` of text."""
 
     words: int = 5
     bands: int = 15
@@ -50,6 +50,7 @@ class Settings:
     agree: int = 34
     hubs: int = 8
     block: int = 512
+    block_bytes: int = 1 << 21
 
     @property
     def samples(self) -> int:
@@ -159,10 +160,10 @@ def _signer(idf, s: Settings):
     return run
 
 
-def similarity(left: list[str], right: list[str], idf: np.ndarray, size: int) -> np.ndarray:
+def similarity(left: pa.Array, right: pa.Array, idf: np.ndarray, size: int) -> np.ndarray:
     """Weighted Jaccard similarity of each pair of texts; 0 where both have no word."""
     n = len(left)
-    words = hx.Words(pa.array([*left, *right], pa.large_string()))
+    words = hx.Words(pa.concat_arrays([left.cast(pa.large_string()), right.cast(pa.large_string())]))
     text, shingle, weight = weighted_shingles(words, idf, size)
     pair = text % n
     order = np.lexsort((text, shingle, pair))
@@ -174,16 +175,20 @@ def similarity(left: list[str], right: list[str], idf: np.ndarray, size: int) ->
 
 
 def _compared(idf, size: int):
-    def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        out, at = [], 0
-        ends = np.cumsum((left.str.len() + right.str.len()).to_numpy())
-        while at < len(left):  # about a million characters at a time
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), side="right")))
-            out.append(similarity(left[at:to].tolist(), right[at:to].tolist(), idf.value, size))
-            at = to
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    """(a, b, similarity) of (a, b, ta, tb), some 1 MiB of texts at once."""
 
-    return F.pandas_udf(run, "double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = sum(hx.flat(batch.column(c))[1][1:] for c in ("ta", "tb"))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + hx.SLICE_BYTES, side="right")))
+                part = batch.slice(at, to - at)
+                found = similarity(part.column("ta"), part.column("tb"), idf.value, size)
+                yield pa.record_batch({"a": part.column("a"), "b": part.column("b"), "similarity": pa.array(found)})
+                at = to
+
+    return run
 
 
 class _Comparer:
@@ -226,7 +231,10 @@ class _Comparer:
         x = self.texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
         y = self.texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
         return keep(
-            pairs.join(x, "a").join(y, "b").select("a", "b", self.measure("ta", "tb").alias("similarity")), "measured"
+            pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(
+                self.measure, "a long, b long, similarity double"
+            ),
+            "measured",
         )
 
 
@@ -263,75 +271,130 @@ def links(nodes: DataFrame, docs: DataFrame, idf, s: Settings) -> DataFrame:
         tested, found = tested.unionByName(done), found.unionByName(ties)
         roots = components(found.select("a", "b"))
         active = keep(_left_over(active, hubs, roots), "active")
-    # what no hub reached is compared in blocks, inside the tasks
-    near = keep(_block_pairs(active, nodes, roots, s), "near")
-    if not near.isEmpty():
-        done, ties = compare.settle(near)
-        tested, found = tested.unionByName(done), found.unionByName(ties)
-        roots = components(found.select("a", "b"))
-    # just outside a hub's reach: its followers may be closer
-    border = keep(_apart(
-        tested.filter((F.col("similarity") < s.least) & (F.col("similarity") >= 2 * s.least - 1)), roots
-    ), "border")
-    if not border.isEmpty():
-        border = border.select("a", "b").unionByName(border.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        held = everyone.select("key", "node")
-        at = border.join(held.select("key", F.col("node").alias("a")), "a").join(
-            held.select("key", F.col("node").alias("b")), ["b", "key"]
-        ).select("key", "a", "b")
-        reach = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        followers = at.join(reach.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").join(
-            held.select("key", F.col("node").alias("c")), ["key", "c"]
-        ).select("a", F.col("c").alias("b"), F.lit(0).alias("worth")).distinct()
-        _, ties = compare.settle(keep(compare.promising(_apart(followers, roots)), "near"))
-        found = found.unionByName(ties)
-    return found
-
-
-def _block_pairs(active: DataFrame, nodes: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (a, b, worth) of a bucket's left members whose samples agree often enough and that no path joins.
-
-    A bucket is cut into blocks of about ``s.block`` members. Two blocks meet
-    in one row, their samples are compared as arrays, and only pairs that
-    agree come out.
+    return found.unionByName(_block_links(everyone.select("key", "node"), compare, roots, idf, s))
+
+
+def _block_links(members: DataFrame, compare: _Comparer, roots: DataFrame, idf, s: Settings) -> DataFrame:
+    """Links (a, b, similarity) that join groups of a bucket which the hubs left apart.
+
+    Of each bucket the members outside its largest group meet all members of
+    other groups. Both sides are cut into blocks by number and by bytes of
+    text; two blocks are one row, and samples decide which of their members
+    have texts to be compared at all.
     """
-    sizes = active.groupBy("key").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))
-    rows = active.join(sizes, "key").join(nodes.select("node", "samples"), "node").join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"), "samples", "blocks",
-        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"),
+    sizes = compare.texts.select("node", F.octet_length("text").cast("bigint").alias("bytes"))
+    rows = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    groups = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("key").agg(
+        F.max(F.struct("n", (-F.col("root")).alias("minus"))).alias("g"), F.count("*").alias("groups")
+    ).filter("groups > 1").select("key", (-F.col("g.minus")).alias("largest"))
+    rows = keep(
+        rows.join(largest, "key").join(sizes, "node").select(
+            "key", "node", "root", "bytes", (F.col("root") != F.col("largest")).alias("left")
+        ),
+        "split",
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = rows.withColumn("other", other).groupBy(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    ).agg(F.collect_list(F.struct("node", "root", "own", "samples")).alias("rows"))
-    return met.select("low", "high", "rows").mapInArrow(_compare_blocks(s), "a long, b long, worth int").groupBy("a", "b").agg(
-        F.max("worth").alias("worth")
+
+    def blocks(here: Column) -> Column:
+        count, size = F.count(F.when(here, 1)), F.coalesce(F.sum(F.when(here, F.col("bytes"))), F.lit(0))
+        return F.greatest(F.ceil(count / s.block), F.ceil(size / s.block_bytes), F.lit(1)).cast("int")
+
+    cuts = rows.groupBy("key").agg(blocks(F.col("left")).alias("lefts"), blocks(F.lit(True)).alias("alls"))
+    placed = rows.join(cuts, "key")
+    asking = placed.filter("left").select(
+        "key", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int").alias("low"),
+        F.explode(F.sequence(F.lit(0), F.col("alls") - 1)).alias("high"), F.lit(True).alias("asks"), "node", "root", "left",
+    )
+    asked = placed.select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("low"),
+        F.pmod(F.xxhash64("node"), F.col("alls")).cast("int").alias("high"), F.lit(False).alias("asks"), "node", "root", "left",
+    )
+    pair = ["key", "low", "high"]
+    member = F.struct("asks", "node", "root", "left", "samples").alias("member")
+    met = asking.unionByName(asked).join(compare.samples, "node").select(*pair, member).groupBy(*pair).agg(
+        F.collect_list("member").alias("rows")
     )
+    schema = "key long, low int, high int, asks boolean, node long, root long, left boolean"
+    close = keep(met.mapInArrow(_agreeing(s), schema), "close")
+    member = F.struct("asks", "node", "root", "left", "samples", "text").alias("member")
+    texts = close.join(compare.texts, "node").join(compare.samples, "node").select(*pair, member).groupBy(*pair).agg(
+        F.collect_list("member").alias("rows")
+    )
+    return keep(texts.mapInArrow(_joining(idf, s), "a long, b long, similarity double"), "joined")
+
+
+class _Pair:
+    """Two blocks of a bucket: who asks (``ask``), who is asked (``rest``), and whose samples agree."""
+
+    def __init__(self, rows: pa.StructArray, s: Settings):
+        asks, self.node, self.root, self.left = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("asks", "node", "root", "left"))
+        self.samples = rows.field("samples").flatten().to_numpy().reshape(len(asks), s.samples)
+        self.ask, self.rest = np.flatnonzero(asks), np.flatnonzero(~asks)
+        self.least = s.agree
 
+    def agreeing(self, i: int, root: np.ndarray) -> np.ndarray:
+        """Those asked that ``i`` may be linked to: other groups, and of two that both ask the one with the greater number."""
+        rest = self.rest
+        rest = rest[(root[rest] != root[i]) & (~self.left[rest] | (self.node[rest] > self.node[i]))]
+        return rest[(self.samples[rest] == self.samples[i]).sum(1) >= self.least]
+
+
+def _pairs_of_blocks(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[tuple[pa.RecordBatch, int, pa.StructArray, _Pair]]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            rows = batch.column("rows")[at].values
+            yield batch, at, rows, _Pair(rows, s)
+
+
+def _agreeing(s: Settings):
+    """Members of each pair of blocks that have someone to be compared with; each once, however many there are."""
 
-def _compare_blocks(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                rows = batch.column("rows")[at].values
-                node, root, own = (rows.field(i).to_numpy() for i in range(3))
-                samples = rows.field(3).flatten().to_numpy().reshape(len(node), s.samples)
-                low, high = batch.column("low")[at].as_py(), batch.column("high")[at].as_py()
-                left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-                out = []
-                for i in left:
-                    rest = right[right > i] if low == high else right
-                    agree = (samples[rest] == samples[i]).sum(1)
-                    hit = rest[(agree >= s.agree) & (root[rest] != root[i])]
-                    if len(hit):
-                        out.append(np.stack([
-                            np.minimum(node[hit], node[i]), np.maximum(node[hit], node[i]),
-                            agree[(agree >= s.agree) & (root[rest] != root[i])],
-                        ]))
-                pairs = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-                yield pa.record_batch([
-                    pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64()), pa.array(pairs[2].astype(np.int32)),
-                ], names=["a", "b", "worth"])
+        for batch, at, rows, pair in _pairs_of_blocks(batches, s):
+            wanted = np.zeros(len(pair.node), bool)
+            for i in pair.ask:
+                close = pair.agreeing(i, pair.root)
+                wanted[close] = True
+                wanted[i] = len(close) > 0
+            found = pa.array(np.flatnonzero(wanted))
+            named = {c: pa.array([batch.column(c)[at].as_py()] * len(found), batch.schema.field(c).type) for c in ("key", "low", "high")}
+            yield pa.record_batch({**named, **{c: rows.field(c).take(found) for c in ("asks", "node", "root", "left")}})
+
+    return run
+
+
+def _joining(idf, s: Settings):
+    """Links of each pair of blocks that join two of its groups: at most as many as it has members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, rows, pair in _pairs_of_blocks(batches, s):
+            words = hx.Words(rows.field("text"))
+            text, shingle, weight = weighted_shingles(words, idf.value, s.words)
+            names, place = np.unique(shingle, return_inverse=True)
+            begin = np.searchsorted(text, np.arange(len(pair.node) + 1))
+            total = np.bincount(text, weight, len(pair.node))
+            own, root = np.zeros(len(names)), pair.root.copy()
+            found = []
+            for i in pair.ask:
+                close = pair.agreeing(i, root)
+                if not len(close):
+                    continue
+                here = place[begin[i] : begin[i + 1]]
+                own[here] = weight[begin[i] : begin[i + 1]]
+                counts = begin[close + 1] - begin[close]
+                cells = hx.ranges(begin[close], counts)
+                shared = np.minimum(own[place[cells]], weight[cells])
+                common = np.add.reduceat(shared, np.cumsum(counts) - counts)
+                own[here] = 0
+                alike = common / (total[close] + total[i] - common)
+                for j, value in zip(close[alike >= s.least], alike[alike >= s.least]):
+                    if root[j] != root[i]:
+                        found.append((pair.node[i], pair.node[j], value))
+                        root[root == root[j]] = root[i]
+            a, b, similarity = zip(*found) if found else ((), (), ())
+            yield pa.record_batch({
+                "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(similarity, pa.float64())
+            })
 
     return run
 
@@ -401,19 +464,17 @@ def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     A group without any doc_id keeps one row. Of rows that repeat a doc_id in
     one group, one stays.
     """
-    chosen = keep(_rooted_groups(docs, s).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("root").alias("__root"), F.col("digest").alias("__digest")
-    ), "kept")
+    chosen = _rooted_groups(docs, s).filter("kept").select("doc_id", "root", "digest")
     # the least text digest decides among several texts with the least doc_id
-    one = chosen.groupBy("__root").agg(
-        F.first("__id").alias("__id"), F.min("__digest").alias("__digest"), F.count("*").alias("__n")
-    )
-    one = lookup(one.select("__id", "__digest", "__n"))
-    named = docs.withColumn("__own", F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16))
-    out = named.join(
-        one, named["doc_id"].cast("bigint").eqNullSafe(one["__id"]) & (F.col("__own") == F.col("__digest"))
-    )
+    one = chosen.groupBy("root").agg(F.first("doc_id").alias("id"), F.min("digest").alias("own"), F.count("*").alias("n"))
+    one = lookup(one.select(F.struct("id", "own").alias("place"), "n"))
+    # names that no column of docs has
+    place, times = ("_" * (1 + max((len(c) for c in docs.columns), default=0)) + c for c in ("place", "n"))
+    own = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16)
+    named = docs.withColumn(place, F.struct(F.col("doc_id").cast("bigint").alias("id"), own.alias("own")))
+    out = named.join(one.select(F.col("place").alias(f"{place}_"), F.col("n").alias(times)), F.col(place).eqNullSafe(F.col(f"{place}_")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    if chosen.count() == one.filter("__n = 1").count():
-        return out.select(*columns)
-    return out.dropDuplicates(["__id", "__digest"]).select(*columns)
+    # rows that repeat in the input are the only ones that move
+    return out.filter(F.col(times) == 1).select(*columns).unionByName(
+        out.filter(F.col(times) > 1).dropDuplicates([place]).select(*columns)
+    )

@@ -37,7 +37,7 @@ def idf_by_hand(texts):
     return {w: float(np.float32(1 + np.log((n + 1) / (df[b] + 1)))) for w, b in bucket.items()}
 
 
-def classes_by_hand(rows, least=0.8):
+def classes_by_hand(rows, least=0.8, sharp=True):
     idf = idf_by_hand([t for _, t in rows])
     weighed = [
         {k: c * sum(idf[w] for w in k) / len(k) for k, c in shingles(t).items()} for _, t in rows
@@ -59,7 +59,7 @@ def classes_by_hand(rows, least=0.8):
         x, y = weighed[a], weighed[b]
         both = sum(min(x[k], y[k]) for k in x.keys() & y.keys())
         s = both / (sum(x.values()) + sum(y.values()) - both)
-        if abs(s - least) < 1e-3:
+        if sharp and abs(s - least) < 1e-3:
             close.append((a, b))
         if s >= least or (rows[a][1] or "") == (rows[b][1] or ""):
             parent[max(find(a), find(b))] = min(find(a), find(b))
@@ -131,6 +131,59 @@ def test_many_unlike_texts_in_one_bucket(spark):
     assert got(docs, s=minhash.Settings(bands=40, rows=1, agree=15, hubs=2, block=20)) == classes_by_hand(rows)
 
 
+def copies_of_copies(n, words=90, seed=5, changes=(4, 9)):
+    """One dense group: every text is a copy of an earlier one with some words changed."""
+    rng = random.Random(seed)
+    texts = [[f"b{i}" for i in range(words)]]
+    for i in range(1, n):
+        text = list(rng.choice(texts[: 1 + i // 3]))
+        for _ in range(rng.randint(*changes)):
+            text[rng.randrange(words)] = f"n{rng.randrange(10**6)}"
+        texts.append(text)
+    return [(i * 13 % 10007, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("changes", [(1, 3), (2, 5)])
+def test_dense_group_of_copies_of_copies(spark, changes):
+    """Groups from links between members of one bucket whose hubs are far from both."""
+    rows = copies_of_copies(260, changes=changes)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = dict(got(docs, s=minhash.Settings(hubs=2, block=32)))
+    # pairs a hair from the threshold may fall to either side
+    fine, coarse = (dict(classes_by_hand(rows, least, sharp=False)) for least in (0.801, 0.799))
+    assert len(set(coarse.values())) > 3
+    assert len({(fine[d], found[d]) for d in fine}) == len(set(fine.values()))
+    assert len({(found[d], coarse[d]) for d in fine}) == len(set(found.values()))
+
+
+def test_what_moves_grows_with_the_members_of_a_group(spark, monkeypatch):
+    tables, made = {}, minhash.keep
+    def counted(df, name, *more):
+        out = made(df, name, *more)
+        tables[name] = tables.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(minhash, "keep", counted)
+    sizes = []
+    for n in (200, 400, 800):
+        tables.clear()
+        rows = copies_of_copies(n, words=60, changes=(2, 4))
+        minhash.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).count()
+        sizes.append({k: tables.get(k, 0) for k in ("near", "measured", "close", "joined")})
+    for name in sizes[0]:
+        for few, many in zip(sizes, sizes[1:]):
+            assert many[name] <= 2.6 * few[name] + 50, sizes
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(60_000))
+    names = ["__id", "__own", "__root", "place", "n", "____________place", "node", "samples"]
+    rows = [(1, long, *names), (2, long + " end", *names), (3, "short text", *names), (3, "short text", *names)]
+    schema = "doc_id long, text string, " + ", ".join(f"{c} string" for c in names)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    kept = minhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_samples_agree_as_often_as_the_texts_are_alike():
     rng = np.random.default_rng(2)
     idf = (1 + rng.random(minhash.BUCKETS) * 5).astype(np.float32)
@@ -143,7 +196,7 @@ def test_samples_agree_as_often_as_the_texts_are_alike():
         texts = [" ".join(base), " ".join(other)]
         words = hx.Words(pa.array(texts))
         a, b = minhash.signatures(*minhash.weighted_shingles(words, idf, 5), tables)
-        exact = minhash.similarity(texts[:1], texts[1:], idf, 5)[0]
+        exact = minhash.similarity(pa.array(texts[:1]), pa.array(texts[1:]), idf, 5)[0]
         assert abs((a == b).mean() - exact) < 4 * np.sqrt(exact * (1 - exact) / 400) + 0.01
 
 
