@@ -50,7 +50,7 @@ class Settings:
     agree: int = 34
     hubs: int = 8
     block: int = 512
-    block_bytes: int = 1 << 21
+    block_bytes: int = 400 << 10
 
     @property
     def samples(self) -> int:
