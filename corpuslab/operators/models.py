@@ -9,18 +9,14 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, Word2Vec
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslab.operators.stats import word_counts
+from corpuslab.operators import skipgram
 from corpuslab.operators.tables import hash_bucket
-from corpuslab.session import cut_lineage
-
-# Word2Vec keeps words x dimensions on the driver.
-MAX_MODEL_CELLS = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -29,6 +25,8 @@ class VectorSettings:
     min_count: int
     window: int = 5
     max_iter: int = 1
+    negative: int = 5
+    sample: float = 1e-3
     seed: int = 786
 
 
@@ -39,34 +37,19 @@ TUNED_PHRASE_VECTORS = VectorSettings(dim=300, min_count=10, max_iter=150)
 AUTHOR_VECTORS = VectorSettings(dim=200, min_count=3, window=6, max_iter=6)
 
 
-def fit_word2vec(
-    sentences: DataFrame, settings: VectorSettings, words: str = "words", partitions: int | None = None
-) -> DataFrame:
-    """(word, vector) from a skip-gram model over one row per sentence.
-
-    Every pass trains ``partitions`` parts side by side (one per core unless
-    given) and averages them.
+def fit_word2vec(sentences: DataFrame, settings: VectorSettings, words: str = "words") -> DataFrame:
+    """(word, vector) from a skip-gram model over one row per sentence, the same for any partitioning.
 
-    The model lives on the driver; a vocabulary that cannot fit there is
-    refused with the reason instead of being cut.
+    Vocabulary and parameters stay in blocks on the executors (see ``skipgram``).
     """
-    rows = cut_lineage(sentences.select(words))  # read for the check, the vocabulary and each pass
-    frequent = word_counts(rows, words).filter(F.col("n") >= settings.min_count)
-    size = frequent.count()
-    if size * settings.dim > MAX_MODEL_CELLS:
-        raise ValueError(f"{size} words x {settings.dim} dimensions: raise min_count")
-    estimator = Word2Vec(
-        vectorSize=settings.dim,
-        minCount=settings.min_count,
-        windowSize=settings.window,
-        maxIter=settings.max_iter,
-        seed=settings.seed,
-        numPartitions=partitions or rows.sparkSession.sparkContext.defaultParallelism,
-        inputCol=words,
-        outputCol="_sentence_vector",
+    return skipgram.fit(
+        sentences,
+        skipgram.Settings(
+            dim=settings.dim, min_count=settings.min_count, window=settings.window, passes=settings.max_iter,
+            negative=settings.negative, sample=settings.sample, seed=settings.seed,
+        ),
+        words,
     )
-    model = estimator.fit(rows)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
 def as_features(df: DataFrame, *vectors: str, name: str = "features") -> DataFrame:

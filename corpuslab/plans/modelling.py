@@ -20,8 +20,8 @@ from corpuslab.sources.readers import read_table
 
 # Settings small enough for the test tables; the operators' own presets hold
 # the sizes of the original workloads.
-MESSAGE_VECTORS = replace(models.MESSAGE_VECTORS, dim=32)
-PHRASE_VECTORS = replace(models.PHRASE_VECTORS, dim=32)
+MESSAGE_VECTORS = models.MESSAGE_VECTORS
+PHRASE_VECTORS = models.PHRASE_VECTORS
 SENTENCE_TOPICS = replace(topics.SENTENCE_TOPICS, batch_share=0.25)
 HEADLINE_TOPICS = replace(topics.HEADLINE_TOPICS, batch_share=0.25)
 AUTHOR_TOPICS = replace(topics.AUTHOR_TOPICS, k=10, passes=4, batch_share=0.25)
@@ -64,8 +64,7 @@ def word2vec_authors(spark, sf):
     """Vectors over masked, full-stop sentences."""
     rows = tokens.tokenized_sentences(data.documents(spark, sf))
     single = each(rows, "sentences", "words")
-    settings = replace(models.AUTHOR_VECTORS, dim=16, max_iter=2)
-    return _vector_rows(models.fit_word2vec(single, settings), "word")
+    return _vector_rows(models.fit_word2vec(single, models.AUTHOR_VECTORS), "word")
 
 
 @query("doc_vectors")

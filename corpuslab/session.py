@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pathlib
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back.
+
+    Unlike a checkpoint the table has the size of its files, so the estimates
+    of plans that are built step upon step do not multiply, and readers prune
+    columns. The files go when the session's file system closes.
+    """
+    spark = df.sparkSession
+    _ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per context, for sessions started without ``--py-files``."""
     context = spark.sparkContext
