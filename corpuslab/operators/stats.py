@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
+from corpuslab.operators import postings
 from corpuslab.operators.unnest import each, each_struct
 from corpuslab.session import lookup
 
@@ -68,13 +69,17 @@ def word_counts(rows: DataFrame, words: str = "words") -> DataFrame:
 
 
 def doc_frequency(rows: DataFrame, words: str = "words") -> DataFrame:
-    """(word, df): each document's words are made distinct inside its own row."""
+    """(word, df): each document's words are made distinct inside its own row (see ``postings`` for bags)."""
+    if postings.is_bagged(rows):
+        return postings.entries(rows).groupBy("word").agg(F.count("*").alias("df"))
     single = each(rows, F.array_distinct(words), "word")
     return single.groupBy("word").agg(F.count("*").alias("df"))
 
 
 def word_frequencies(rows: DataFrame, words: str = "words") -> DataFrame:
     """(word, cf, df) with one shuffle of per-task sums."""
+    if postings.is_bagged(rows):
+        return postings.entries(rows).groupBy("word").agg(F.sum("n").alias("cf"), F.count("*").alias("df"))
     marked = F.concat(
         F.transform(words, lambda w: F.struct(w.alias("word"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
         F.transform(

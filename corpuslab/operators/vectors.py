@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslab.operators.postings import is_bagged
 from corpuslab.operators.unnest import each_at
 from corpuslab.operators.weights import postings
 from corpuslab.session import cut_lineage, lookup
@@ -46,16 +47,19 @@ def vector_and_weight_lookup(
 def _document_vectors(
     rows: DataFrame, table: DataFrame, weight: Column, key: str, words: str, dim: int
 ) -> DataFrame:
-    counted = (
-        rows.select(key, F.explode_outer(words).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count("word").alias("n"))
-    )
+    if is_bagged(rows):
+        counted = rows.select(key, F.inline_outer("bag"))
+    else:
+        counted = (
+            rows.select(key, F.explode_outer(words).alias("word"))
+            .groupBy(key, "word")
+            .agg(F.count("word").alias("n"))
+        )
     joined = counted.join(lookup(table), "word", "left")
     known = F.sum(F.when(F.col("vector").isNotNull(), F.col("n")).otherwise(F.lit(0)))
     sums = joined.groupBy(key).agg(
         known.alias("known"),
-        F.sum("n").alias("total"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         *_sums("vector", F.col("n") * weight, dim),
     )
     scale = F.nullif(F.col("known"), F.lit(0).cast("bigint"))

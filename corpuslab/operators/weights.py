@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpuslab.operators import postings as bagged
 from corpuslab.operators.ordering import SHORT_HEAD, dense_index, head
 from corpuslab.operators.stats import word_frequencies
 from corpuslab.operators.unnest import each
@@ -59,7 +60,9 @@ def word_ids(vocab: DataFrame, capped: bool) -> DataFrame:
 
 
 def postings(rows: DataFrame, key: str = "doc_id", words: str = "words") -> DataFrame:
-    """(key, word, n)."""
+    """(key, word, n) from word arrays, or from bags of documents that each stand in one row."""
+    if bagged.is_bagged(rows):
+        return bagged.entries(rows, key)
     return each(rows, words, "word", key).groupBy(key, "word").agg(F.count("*").alias("n"))
 
 

@@ -14,7 +14,7 @@ from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import STOPS, lemma_parts, parts, stem_parts
 from corpuslab.plans.tables import MASKED, SOCIAL_SQL, good
-from corpuslab.session import lookup
+from corpuslab.session import cut_lineage, lookup
 from corpuslab.sources.readers import read_table
 
 
@@ -107,12 +107,23 @@ def clean_sentence_stems(spark, sf):
 
 @query(
     "clean_utterance",
-    rf"""SELECT conv_id, turn, array_to_string(list_filter(string_split_regex(lower(text), '\s+'),
-                lambda w: w <> '' AND w NOT IN ({STOPS})), ' ') AS words FROM conversations""",
+    rf"""WITH split AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(text), '\s+'), lambda w: w <> '') AS ws
+                 FROM conversations),
+        said AS (SELECT conv_id, turn, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM split),
+        {lemma_parts("said")},
+        kept AS (SELECT conv_id, turn, pos, lemma FROM said JOIN lemmas USING (word) WHERE lemma NOT IN ({STOPS}))
+        SELECT conv_id, turn, coalesce(words, '') AS words FROM split LEFT JOIN (
+            SELECT conv_id, turn, string_agg(lemma, ' ' ORDER BY pos) AS words FROM kept GROUP BY ALL
+        ) USING (conv_id, turn)""",
 )
 def clean_utterance(spark, sf):
-    rows = read_table(spark, sf, "conversations")
-    return rows.select("conv_id", "turn", tx.join_tokens(tx.clean_utterance(F.col("text"))).alias("words"))
+    """Lower case, split, noun lemmas (all turns' words as lexicon), stop words out."""
+    rows = cut_lineage(
+        read_table(spark, sf, "conversations").select("conv_id", "turn", tx.document_tokens(F.col("text")).alias("words"))
+    )
+    lemmas = lexical.lemma_table(tokens.explode_words(rows))
+    said = tokens.map_words(rows, lemmas, ["conv_id", "turn"])
+    return said.select("conv_id", "turn", tx.join_tokens(tx.without(F.col("words"))).alias("words"))
 
 
 @query("sentences", parts("sent") + "SELECT doc_id, sent_pos, sentence FROM sent")

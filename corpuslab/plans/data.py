@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.functions import vectors as vx
-from corpuslab.operators import ordering, stats, tokens, web
-from corpuslab.session import by_key, spread
+from corpuslab.operators import ordering, postings, stats, tokens, web
+from corpuslab.session import bucketed, spread
 from corpuslab.sources.readers import read_table
 
 
@@ -23,13 +23,18 @@ def clean(spark: SparkSession, sf: str, **options) -> DataFrame:
     return tokens.clean_sentences(documents(spark, sf), **options)
 
 
-def words(spark: SparkSession, sf: str, per_document: bool = False) -> DataFrame:
-    """Cleaned words of every document; placed by document for steps that group by it."""
-    if per_document:
-        docs = by_key(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    else:
-        docs = documents(spark, sf)
-    return tokens.document_words(docs)
+def words(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned words of every document."""
+    return tokens.document_words(documents(spark, sf))
+
+
+def bags(spark: SparkSession, sf: str) -> DataFrame:
+    """Bags of the cleaned words of every document, written once in buckets of documents.
+
+    Later steps read the bags, not the texts, and find the words of a document
+    in one place.
+    """
+    return bucketed(postings.bags(words(spark, sf)), "doc_id")
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:

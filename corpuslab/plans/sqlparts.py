@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpuslab.functions import stem as st
-from corpuslab.functions.words import ENGLISH_STOP_WORDS, NOUN_RULES
+from corpuslab.functions.words import ENGLISH_STOP_WORDS, IRREGULAR_NOUNS, IRREGULAR_VERBS, NOUN_RULES
 
 
 def quoted(words) -> str:
@@ -158,8 +158,10 @@ def stem_parts(source: str, word: str = "word") -> str:
     return ",\n".join(ctes)
 
 
-def lemma_parts(source: str, rules=NOUN_RULES) -> str:
-    """CTEs that end in ``lemmas`` (word, lemma) by the given rules, corpus words as lexicon."""
+def lemma_parts(source: str, rules=NOUN_RULES, lexicon: str = "lw") -> str:
+    """CTEs that end in ``lemmas`` (word, lemma): irregular forms, then the given rules, corpus words as lexicon."""
+    irregular = IRREGULAR_NOUNS if rules is NOUN_RULES else IRREGULAR_VERBS
+    forms = ", ".join(f"('{a}', '{b}')" for a, b in irregular.items())
     options = ["SELECT word, 0 AS rule, word AS candidate FROM lw"]
     for i, (suffix, replacement) in enumerate(rules, start=1):
         options.append(
@@ -169,7 +171,9 @@ def lemma_parts(source: str, rules=NOUN_RULES) -> str:
     return (
         f"lw AS (SELECT DISTINCT word FROM {source}),\n"
         f"lc AS ({' UNION ALL '.join(options)}),\n"
+        f"irr AS (SELECT * FROM (VALUES {forms}) AS t(word, lemma)),\n"
         "lemmas AS (SELECT word, candidate AS lemma FROM (SELECT word, candidate, row_number() OVER"
         " (PARTITION BY word ORDER BY length(candidate), rule, candidate) AS r"
-        " FROM lc WHERE candidate IN (SELECT word FROM lw)) WHERE r = 1)"
+        f" FROM lc WHERE candidate IN (SELECT word FROM {lexicon}) AND word NOT IN (SELECT word FROM irr)) WHERE r = 1"
+        " UNION ALL SELECT word, lemma FROM irr WHERE word IN (SELECT word FROM lw))"
     )

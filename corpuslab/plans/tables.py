@@ -351,7 +351,7 @@ def remove_stopwords(spark, sf):
          (SELECT word FROM freq, nd WHERE df >= 15 AND df <= 0.5 * n_docs)""",
 )
 def known_words(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.bags(spark, sf)
     vocab = weights.vocabulary_bounds(rows, min_df=15, max_share=0.5)
     return tables.membership(weights.postings(rows), lookup(vocab.select("word")), "word").select("doc_id", "word", "n")
 

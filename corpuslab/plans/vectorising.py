@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
-from corpuslab.operators import latent, lexical, similarity, tables, tokens, vectors, weights
+from corpuslab.operators import latent, lexical, similarity, stats, tables, tokens, vectors, weights
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
-from corpuslab.plans.sqlparts import parts
+from corpuslab.plans.sqlparts import STOPS, lemma_parts, parts
 from corpuslab.plans.tables import SPLIT
+from corpuslab.session import cut_lineage
 from corpuslab.sources.readers import read_table
 
 WIDTH = 64
@@ -18,7 +19,7 @@ IDF = "idf AS (SELECT word, ln((1.0 + n_docs) / (1.0 + df)) + 1.0 AS idf FROM fr
 
 @query("word_vector_lookup", parts("post", "wv") + "SELECT doc_id, word, n, vec_id FROM post JOIN wv USING (word)")
 def word_vector_lookup(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     table = data.word_vectors(spark, sf, rows).select("word", "vec_id")
     return vectors.word_vector_lookup(rows, table)
 
@@ -33,13 +34,13 @@ def _idf(rows):
     + "SELECT doc_id, word, n, vec_id, round(idf, 6) AS idf FROM post JOIN wv USING (word) JOIN idf USING (word)",
 )
 def vector_and_weight_lookup(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     table = data.word_vectors(spark, sf, rows).select("word", "vec_id")
     return vectors.vector_and_weight_lookup(rows, table, _idf(rows)).withColumn("idf", F.round("idf", 6))
 
 
 def document_vectors(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     return vectors.mean_word_vectors(rows, data.word_vectors(spark, sf, rows), WIDTH)
 
 
@@ -67,7 +68,7 @@ def weighted_word_vector(spark, sf):
 
 
 def weighted_vectors(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     return vectors.weighted_word_vectors(rows, data.word_vectors(spark, sf, rows), _idf(rows), WIDTH)
 
 
@@ -132,7 +133,7 @@ def standardize_per_split(spark, sf):
 )
 def matrix_product(spark, sf):
     """Document x word counts times word x dimension vectors."""
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     a = weights.postings(rows).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("n").alias("value"))
     table = data.word_vectors(spark, sf, rows)
     b = table.select(F.col("word").alias("i"), F.posexplode("vector").alias("j", "value"))
@@ -172,7 +173,7 @@ _ONE_UTTERANCE = f"""uw AS (SELECT unnest(string_split(lower(regexp_replace('{UT
 )
 def intent_scores(spark, sf):
     """One utterance against every document vector; rows without a vector have no score."""
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     table = data.word_vectors(spark, sf, rows)
     docs = vectors.mean_word_vectors(rows, table, WIDTH)
     asked = spark.createDataFrame([(0, UTTERANCE)], "query_id bigint, text string").select(
@@ -183,32 +184,36 @@ def intent_scores(spark, sf):
     return scored.select("doc_id", F.round("similarity", 6).alias("similarity"))
 
 
-# The query side of the intent jobs: user turns, letters only, stop words out.
+# Words of the documents that stand at least so often are known to the spelling.
+SPELLING_FLOOR = 10
+
+# The query side of the intent jobs: words of user turns, then lemmas, then stop words out.
 _ASKED = r"""uq AS (SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'user'),
-    uword AS (SELECT query_id, unnest(list_filter(string_split(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g')), ' '),
-              lambda w: w <> '')) AS word FROM uq)"""
-_UNKNOWN = """sv1 AS (SELECT word, cf AS n FROM freq ORDER BY cf DESC, word LIMIT 1000),
+    uword AS (SELECT query_id, unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda w: w <> '')) AS word
+              FROM uq)"""
+# the known words are plain letters, so any other character of a word is one more that differs
+_PLAIN = r"regexp_replace(u.word, '[^\x00-\x7F]', '~', 'g')"
+_UNKNOWN = f"""sv1 AS (SELECT word, cf AS n FROM freq WHERE cf >= {SPELLING_FLOOR}),
     unk AS (SELECT DISTINCT word FROM uword WHERE word NOT IN (SELECT word FROM sv1)),
-    cand AS (SELECT u.word, s.word AS correction, s.n, levenshtein(u.word, s.word) AS distance
-             FROM unk u JOIN sv1 s ON abs(length(u.word) - length(s.word)) <= 2 WHERE levenshtein(u.word, s.word) <= 2),
+    cand AS (SELECT u.word, s.word AS correction, s.n, levenshtein({_PLAIN}, s.word) AS distance
+             FROM unk u JOIN sv1 s ON abs(length(u.word) - length(s.word)) <= 2 WHERE levenshtein({_PLAIN}, s.word) <= 2),
     fix AS (SELECT word, correction, distance FROM (SELECT *, row_number() OVER
              (PARTITION BY word ORDER BY distance, n DESC, correction) AS r FROM cand) WHERE r = 1)"""
 
 
 def _asked_words(spark, sf):
-    return data.utterances(spark, sf).select(
-        "query_id", tx.clean_words(F.col("text"), remove_stops=False).alias("words")
-    )
+    return data.utterances(spark, sf).select("query_id", tx.document_tokens(F.col("text")).alias("words"))
 
 
 def _corrections(spark, sf, rows, asked):
-    vocab = weights.vocabulary_bounds(rows, keep=1000, by="cf").select("word", F.col("cf").alias("n"))
-    return lexical.spell_candidates(tokens.explode_words(asked), vocab)
+    """Corrections of the words that the documents do not have ``SPELLING_FLOOR`` times."""
+    vocab = weights.vocabulary_bounds(rows).filter(F.col("cf") >= SPELLING_FLOOR)
+    return lexical.spell_candidates(tokens.explode_words(asked), vocab.select("word", F.col("cf").alias("n")))
 
 
 @query("spell_candidates", parts("freq", extra=_ASKED + ",\n" + _UNKNOWN) + "SELECT word, correction, distance FROM fix")
 def spell_candidates(spark, sf):
-    return _corrections(spark, sf, data.words(spark, sf), _asked_words(spark, sf))
+    return _corrections(spark, sf, data.bags(spark, sf), _asked_words(spark, sf))
 
 
 def _similar_sql(k: int, corrected: bool) -> str:
@@ -219,7 +224,10 @@ def _similar_sql(k: int, corrected: bool) -> str:
     )
     extra = _ASKED + (",\n" + _UNKNOWN if corrected else "")
     return parts("docvec", extra=extra) + f""",
-        qw AS ({words}),
+        cw AS ({words}),
+        {lemma_parts("cw", lexicon="freq")},
+        qw AS (SELECT query_id, coalesce(lemma, word) AS word FROM cw LEFT JOIN lemmas USING (word)
+               WHERE coalesce(lemma, word) NOT IN ({STOPS})),
         qv AS (SELECT query_id, dim, avg(v) AS q FROM qw JOIN wv_long USING (word) GROUP BY query_id, dim),
         qa AS (SELECT query_id, list(q ORDER BY dim) AS q FROM qv GROUP BY query_id),
         da AS (SELECT doc_id, list(value ORDER BY dim) AS d FROM docvec GROUP BY doc_id HAVING sum(value * value) > 0),
@@ -231,12 +239,14 @@ def _similar_sql(k: int, corrected: bool) -> str:
 
 
 def _matches(spark, sf, k, corrected):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     table = data.word_vectors(spark, sf, rows)
-    asked = _asked_words(spark, sf)
+    asked = cut_lineage(_asked_words(spark, sf))
     if corrected:
         fixes = _corrections(spark, sf, rows, asked).select("word", F.col("correction").alias("lemma"))
-        asked = tokens.map_words(asked, fixes, ["query_id"])
+        asked = cut_lineage(tokens.map_words(asked, fixes, ["query_id"]))
+    lemmas = lexical.lemma_table(tokens.explode_words(asked), lexicon=stats.doc_frequency(rows).select("word"))
+    asked = tokens.map_words(asked, lemmas, ["query_id"]).withColumn("words", tx.without(F.col("words")))
     queries = vectors.mean_word_vectors(asked, table, WIDTH, "query_id")
     stored = vectors.mean_word_vectors(rows, table, WIDTH).withColumnRenamed("doc_id", "stored_id")
     # copies of a text can differ in the last bit of a sum; rounded, they are equal

@@ -169,7 +169,7 @@ def _capped(rows):
     parts("post", "freq", "nd", extra=_BAG) + "SELECT doc_id, word_id, n FROM post JOIN voc USING (word)",
 )
 def bag_of_words(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     return weights.bag_of_words(rows, _bounded(rows))
 
 
@@ -178,7 +178,7 @@ def bag_of_words(spark, sf):
     parts("post", "freq", "nd", extra=_BAG) + "SELECT doc_id, word_id, word, n FROM post JOIN voc USING (word)",
 )
 def id_to_word(spark, sf):
-    rows = data.words(spark, sf, per_document=True)
+    rows = data.bags(spark, sf)
     vocab = _bounded(rows)
     return weights.id_to_word(weights.bag_of_words(rows, vocab), vocab)
 
@@ -204,7 +204,7 @@ def word_ids(spark, sf):
 )
 def count_matrix(spark, sf):
     """Counts over a bounded vocabulary of words of at least two letters."""
-    rows = data.words(spark, sf, per_document=True).withColumn("words", F.filter("words", lambda w: F.length(w) >= 2))
+    rows = data.bags(spark, sf).withColumn("bag", F.filter("bag", lambda w: F.length(w["word"]) >= 2))
     return weights.bag_of_words(rows, _capped(rows))
 
 
@@ -230,7 +230,7 @@ def _rounded(rows):
     _SMOOTH + "SELECT doc_id, word, n, round(idf, 6) AS idf, round(weight, 6) AS weight FROM unit",
 )
 def tf_idf_smooth(spark, sf):
-    return _rounded(weights.tf_idf_smooth(data.words(spark, sf, per_document=True), min_df=2))
+    return _rounded(weights.tf_idf_smooth(data.bags(spark, sf), min_df=2))
 
 
 @query(
@@ -238,7 +238,7 @@ def tf_idf_smooth(spark, sf):
     _LOG2 + "SELECT doc_id, word, n, round(idf, 6) AS idf, round(weight, 6) AS weight FROM unit WHERE weight > 1e-12",
 )
 def tf_idf_log2(spark, sf):
-    return _rounded(weights.tf_idf_log2(data.words(spark, sf, per_document=True), min_df=3, max_share=0.8))
+    return _rounded(weights.tf_idf_log2(data.bags(spark, sf), min_df=3, max_share=0.8))
 
 
 @query(
@@ -246,7 +246,7 @@ def tf_idf_log2(spark, sf):
     parts("freq", "nd") + "SELECT word, round(ln((1.0 + n_docs) / (1.0 + df)) + 1.0, 6) AS idf FROM freq, nd WHERE df >= 10",
 )
 def idf_weights(spark, sf):
-    rows = data.words(spark, sf)
+    rows = data.bags(spark, sf)
     vocab = weights.vocabulary_bounds(rows, min_df=10)
     return weights.smooth_idf(vocab, weights.document_count(rows)).select("word", F.round("idf", 6).alias("idf"))
 
@@ -261,6 +261,6 @@ def idf_weights(spark, sf):
 )
 def strongest_words(spark, sf):
     """Ten strongest TF-IDF words of every document."""
-    weighed = weights.tf_idf_smooth(data.words(spark, sf, per_document=True), min_df=2)
+    weighed = weights.tf_idf_smooth(data.bags(spark, sf), min_df=2)
     best = ordering.top_per_group(weighed, "doc_id", 10, F.desc(F.round("weight", 9)), "word")
     return best.select("doc_id", "rank", "word", F.round("weight", 6).alias("weight"))

@@ -63,13 +63,32 @@ def stored(df: DataFrame) -> DataFrame:
     of plans that are built step upon step do not multiply, and readers prune
     columns. The files go when the session's file system closes.
     """
-    spark = df.sparkSession
+    path = _new_table(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _new_table(spark: SparkSession) -> str:
     _ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in the shared checkpoint folder, in buckets of ``key``.
+
+    Moving whole rows once is several times less than moving what they hold,
+    and every later step per key (sums, norms, ranks) finds its rows in place:
+    the table is read back by bucket, and nothing is shuffled by key again.
+    """
+    spark = df.sparkSession
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"corpuslab_{uuid.uuid4().hex}"
+    placed = df.repartition(number, key).write.bucketBy(number, key).option("path", _new_table(spark))
+    placed.saveAsTable(name)
+    return spark.table(name)
 
 
 def ship(spark: SparkSession) -> None:
@@ -98,16 +117,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def by_key(df: DataFrame, *keys: str) -> DataFrame:
-    """Place rows by key before their texts are taken apart.
-
-    Moving whole texts once is several times less than moving the
-    (document, word, count) rows they turn into, and every later step per
-    document (counts, norms, ranks, sums) then finds its rows in place.
-    """
-    return df.repartition(*keys)
-
-
 # Largest lookup table that is sent to every executor.
 BROADCAST_BYTES = 128 << 20
 

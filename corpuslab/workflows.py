@@ -137,15 +137,16 @@ class IntentIndex:
     index: similarity.VectorIndex
     word_vectors: DataFrame
     dim: int
+    lexicon: DataFrame
     spelling: DataFrame | None = None
 
     def vectorize(self, utterances: DataFrame) -> DataFrame:
-        """(query_id, vector) of (query_id, text): lower case, spelling, stop words out, mean."""
+        """(query_id, vector) of (query_id, text): lower case, spelling, lemmas, stop words out, mean."""
         words = utterances.select("query_id", tx.document_tokens(F.col("text")).alias("words"))
         if self.spelling is not None:
             fixes = lexical.spell_candidates(tokens.explode_words(words), self.spelling)
             words = tokens.map_words(words, fixes.select("word", F.col("correction").alias("lemma")), ["query_id"])
-        words = words.withColumn("words", tx.without(F.col("words")))
+        words = _utterance_lemmas(words, "query_id", self.lexicon)
         return vectors.mean_word_vectors(words, self.word_vectors, self.dim, "query_id")
 
     def answer(self, utterances: DataFrame) -> DataFrame:
@@ -153,6 +154,12 @@ class IntentIndex:
         return similarity.best_intent(self.index.nearest(self.vectorize(utterances)), self.labelled)
 
 
+def _utterance_lemmas(rows: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
+    """Words of utterances as noun lemmas, stop words out."""
+    lemmas = lexical.lemma_table(tokens.explode_words(rows), lexicon=lexicon)
+    return tokens.map_words(rows, lemmas, [key]).withColumn("words", tx.without(F.col("words")))
+
+
 def build_intent_index(
     utterances: DataFrame, word_vectors: DataFrame, spelling: DataFrame | None = None
 ) -> IntentIndex:
@@ -161,11 +168,13 @@ def build_intent_index(
     ``spelling`` is a (word, n) vocabulary; without it queries are taken as they are.
     """
     dim = vectors.vector_width(word_vectors)
-    rows = utterances.select("stored_id", tx.clean_utterance(F.col("query")).alias("words"))
+    rows = utterances.select("stored_id", tx.document_tokens(F.col("query")).alias("words"))
+    lexicon = cut_lineage(word_vectors.select("word").unionByName(tokens.explode_words(rows)).distinct())
+    rows = _utterance_lemmas(rows, "stored_id", lexicon)
     means = vectors.mean_word_vectors(rows, word_vectors, dim, "stored_id")
     labelled = means.select("stored_id", "vector").join(utterances.select("stored_id", "intent"), "stored_id")
     labelled = cut_lineage(labelled)
-    return IntentIndex(labelled, similarity.build_index(labelled), word_vectors, dim, spelling)
+    return IntentIndex(labelled, similarity.build_index(labelled), word_vectors, dim, lexicon, spelling)
 
 
 # Word vectors of a folder of texts
