@@ -94,26 +94,23 @@ def word_frequencies(rows: DataFrame, words: str = "words") -> DataFrame:
     )
 
 
-def word_counts_by_author(
-    words_by_author: DataFrame, top: DataFrame, authors: Sequence[str], author: str = "author"
-) -> DataFrame:
-    """Counts of the ``top`` words per author, with running sums over the authors.
+def word_counts_by_author(words_by_author: DataFrame, top: DataFrame, author: str = "author") -> DataFrame:
+    """(word, df, author, n, upto): counts of the ``top`` words for every author of the table, zeros included.
 
-    ``words_by_author`` has (author, words). Words outside ``top`` are dropped
-    before any shuffle while ``top`` is small enough to be sent to every task.
+    ``words_by_author`` has (author, words), ``top`` (word, df) a few rows.
+    ``upto`` adds up the authors in their order. Words outside ``top`` are
+    dropped before anything moves.
     """
     single = each(words_by_author, "words", "word", author)
-    kept = single.join(lookup(top.select("word")), "word")
-    per_author = [F.count_if(F.col(author) == a).alias(f"n_{a}") for a in authors]
-    counts = kept.groupBy("word").agg(*per_author)
-    running: Column = F.lit(0).cast("bigint")
-    columns = []
-    for a in authors:
-        running = running + F.col(f"n_{a}")
-        columns.append(running.alias(f"upto_{a}"))
-    return top.select("word", "df").join(counts, "word").select(
-        "word", "df", *[f"n_{a}" for a in authors], *columns
+    counts = single.join(lookup(top.select("word")), "word").groupBy(author, "word").agg(F.count("*").alias("n"))
+    # one small map for each author, over the words of top
+    maps = counts.groupBy(author).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("of"))
+    listed = top.agg(F.sort_array(F.collect_list(F.struct("word", "df"))).alias("top")).scalar()
+    every = words_by_author.select(author).distinct().join(maps, author, "left").withColumn("top", listed)
+    rows = every.select(author, "of", F.inline("top")).select(
+        "word", "df", author, F.coalesce(F.try_element_at("of", F.col("word")), F.lit(0)).alias("n")
     )
+    return rows.withColumn("upto", F.sum("n").over(W.partitionBy("word").orderBy(author)))
 
 
 def nonascii_words(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

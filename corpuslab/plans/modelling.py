@@ -14,7 +14,7 @@ from corpuslab.operators.unnest import each
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
 from corpuslab.plans.sqlparts import parts
-from corpuslab.plans.vectorising import WIDTH, document_vectors, weighted_vectors
+from corpuslab.plans.vectorising import WIDTH, document_vectors
 from corpuslab.session import cut_lineage
 from corpuslab.sources.readers import read_table
 
@@ -179,10 +179,15 @@ def score_unseen_document(spark, sf):
     return topics.doc_topics_ranked(model, features, "query_id")
 
 
-def _author_topics(spark, sf):
-    rows = cut_lineage(tokens.topic_words(data.documents(spark, sf)))
-    features, listed = _counted(rows, min_df=3, max_share=0.8, keep=topics.MAX_VOCABULARY)
-    model = topics.fit_lda(features, AUTHOR_TOPICS)
+def _author_topics(spark, sf, split=None):
+    """Model, topics of every document, vocabulary; learnt from the documents of one split where it is named."""
+    rows = cut_lineage(tables.holdout_split(tokens.topic_words(data.documents(spark, sf)), "doc_id"))
+    seen = rows if split is None else rows.filter(F.col("split") == split)
+    listed = topics.vocabulary_words(
+        weights.vocabulary_bounds(seen, min_df=3, max_share=0.8, keep=topics.MAX_VOCABULARY)
+    )
+    features = topics.counter(listed).transform(rows)
+    model = topics.fit_lda(topics.counter(listed).transform(seen), AUTHOR_TOPICS)
     authors = read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("author"))
     return model, topics.topic_vectors(model, features).join(authors, "doc_id"), listed
 
@@ -313,8 +318,13 @@ def _sentiment_rows(spark, sf):
     labels = tables.not_null(data.messages(spark, sf), "sentiment").select(
         "doc_id", tables.recode(F.col("sentiment"), {4: 1, 0: 0}).alias("label")
     )
-    rows = weighted_vectors(spark, sf).join(labels.filter("label IS NOT NULL"), "doc_id")
-    split = tables.holdout_split(rows, "doc_id")
+    labels = tables.holdout_split(labels.filter("label IS NOT NULL"), "doc_id")
+    bags = data.bags(spark, sf).join(labels.select("doc_id", "split"), "doc_id")
+    # idf, scale and network learn from the training rows alone
+    idf = weights.vocabulary_bounds(train := bags.filter("split = 'TRAIN'"), min_df=10)
+    idf = weights.smooth_idf(idf, weights.document_count(train))
+    table = data.word_vectors(spark, sf, data.bags(spark, sf))
+    split = vectors.weighted_word_vectors(bags, table, idf, WIDTH).join(labels, "doc_id")
     scaled = vectors.standardize(cut_lineage(split), WIDTH, train=F.col("split") == "TRAIN")
     return cut_lineage(models.as_features(scaled, "vector").select("doc_id", "label", "split", "features"))
 
@@ -337,9 +347,9 @@ def accuracy(spark, sf):
     return models.accuracy(_sentiment_scored(spark, sf))
 
 
-def _author_rows(spark, sf):
+def _author_rows(spark, sf, split=None):
     """Topic features, vector features and the author's id for every document."""
-    _, topic_rows, _ = _author_topics(spark, sf)
+    _, topic_rows, _ = _author_topics(spark, sf, split)
     ids = tables.label_ids(read_table(spark, sf, "documents").select(F.col("lang").alias("author")), "author", "label")
     rows = (
         topic_rows.withColumnRenamed("vector", "topics")
@@ -390,7 +400,7 @@ def model_scores(spark, sf):
 @query("submission")
 def submission(spark, sf):
     """Probability of each author for every held-out document."""
-    rows = tables.holdout_split(_author_rows(spark, sf), "doc_id")
+    rows = tables.holdout_split(_author_rows(spark, sf, "TRAIN"), "doc_id")
     featured = models.as_features(rows, *FEATURE_SETS["joined"])
     # one row per label
     labels = [r["author"] for r in rows.select("author", "label").distinct().orderBy("label").collect()]

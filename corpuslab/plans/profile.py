@@ -6,16 +6,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuslab.functions import text as tx
-from corpuslab.operators import phrases, stats, tables, tokens, weights
+from corpuslab.operators import lexical, phrases, stats, tables, tokens, weights
 from corpuslab.operators.unnest import each_at
 from corpuslab.plans import data
 from corpuslab.plans.registry import query
-from corpuslab.plans.sqlparts import STOPS, parts
+from corpuslab.plans.sqlparts import STOPS, lemma_parts, parts, stem_parts
 from corpuslab.plans.tables import MASKED, good
 from corpuslab.session import cut_lineage
 from corpuslab.sources.readers import read_table
 
-AUTHORS = ["de", "en", "es", "fr"]
+# Words as the topic models see them: masked, tidied, stop words out, noun lemmas, stems.
+PREPARED_WORDS = f"""tw AS (SELECT * FROM (SELECT doc_id, unnest({good(MASKED)}) AS word FROM documents)
+               WHERE word NOT IN ('qwerty', {STOPS})),
+        {lemma_parts("tw")},
+        norm AS (SELECT doc_id, m.lemma AS word FROM tw JOIN lemmas m USING (word)),
+        {stem_parts("norm")},
+        counted AS (SELECT doc_id, stem AS word, count(*) AS n FROM norm JOIN stems USING (word) GROUP BY ALL)"""
 LENGTHS = "lengths AS (SELECT doc_id, len(string_split(text, ' ')) AS x FROM documents)"
 
 
@@ -119,25 +125,25 @@ def doc_frequency(spark, sf):
     return stats.doc_frequency(data.words(spark, sf))
 
 
-_PIVOT = ", ".join(f"count(*) FILTER (WHERE lang = '{a}') AS n_{a}" for a in AUTHORS)
-_UPTO = ", ".join(
-    " + ".join(f"n_{b}" for b in AUTHORS[: i + 1]) + f" AS upto_{a}" for i, a in enumerate(AUTHORS)
-)
-
-
 @query(
     "word_counts_by_author",
-    f"""WITH {GOOD_WORDS},
-        gdf AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(words) AS word FROM gw) GROUP BY word),
-        topw AS (SELECT word, df FROM gdf ORDER BY df DESC, word LIMIT 50),
-        counts AS (SELECT word, {_PIVOT} FROM (SELECT lang, unnest(words) AS word FROM gw)
-                   WHERE word IN (SELECT word FROM topw) GROUP BY word)
-        SELECT word, df, {', '.join('n_' + a for a in AUTHORS)}, {_UPTO} FROM topw JOIN counts USING (word)""",
+    f"""WITH {PREPARED_WORDS},
+        topw AS (SELECT word, count(*) AS df FROM counted GROUP BY word ORDER BY df DESC, word LIMIT 50),
+        authors AS (SELECT DISTINCT coalesce(lang, '') AS author FROM documents),
+        sums AS (SELECT coalesce(lang, '') AS author, word, sum(n) AS n
+                 FROM counted JOIN documents USING (doc_id) GROUP BY ALL)
+        SELECT word, df, author, CAST(coalesce(n, 0) AS BIGINT) AS n,
+               CAST(sum(coalesce(n, 0)) OVER (PARTITION BY word ORDER BY author) AS BIGINT) AS upto
+        FROM topw CROSS JOIN authors LEFT JOIN sums USING (word, author)""",
 )
 def word_counts_by_author(spark, sf):
-    rows = _good_words(spark, sf)
+    """Counts of the fifty commonest prepared words for every author of the table."""
+    docs = data.documents(spark, sf)
+    nouns = lexical.lemma_table(tokens.explode_words(tokens.topic_words(docs, stem=False)))
+    authors = read_table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("author"))
+    rows = cut_lineage(tokens.topic_words(docs, lemmas=nouns).join(authors, "doc_id"))
     top = stats.doc_frequency(rows).orderBy(F.desc("df"), "word").limit(50)
-    return stats.word_counts_by_author(rows, top, AUTHORS)
+    return stats.word_counts_by_author(rows, cut_lineage(top))
 
 
 @query(
