@@ -11,18 +11,50 @@ from corpuslab.session import lookup
 
 _OPEN, _CLOSE = chr(1), chr(2)
 
-# The entities that matter in body text. The ampersand is last,
-# so that an escaped entity is not read twice.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
+# Published names of characters (name character). A hard blank counts as a blank.
+NAMED = dict(
+    pair.split(" ", 1)
+    for pair in (
+        "amp &", "lt <", "gt >", 'quot "', "apos '", "nbsp  ", "copy ©", "reg ®", "trade ™", "hellip …", "mdash —",
+        "ndash –", "lsquo ‘", "rsquo ’", "sbquo ‚", "ldquo “", "rdquo ”", "bdquo „", "laquo «", "raquo »", "bull •",
+        "middot ·", "deg °", "plusmn ±", "times ×", "divide ÷", "euro €", "pound £", "cent ¢", "yen ¥", "sect §",
+        "para ¶", "agrave à", "aacute á", "acirc â", "atilde ã", "auml ä", "aring å", "aelig æ", "ccedil ç",
+        "egrave è", "eacute é", "ecirc ê", "euml ë", "igrave ì", "iacute í", "icirc î", "iuml ï", "ntilde ñ",
+        "ograve ò", "oacute ó", "ocirc ô", "otilde õ", "ouml ö", "oslash ø", "oelig œ", "ugrave ù", "uacute ú",
+        "ucirc û", "uuml ü", "szlig ß", "Agrave À", "Aacute Á", "Auml Ä", "Aring Å", "Ccedil Ç", "Egrave È",
+        "Eacute É", "Ntilde Ñ", "Oacute Ó", "Ouml Ö", "Oslash Ø", "Uacute Ú", "Uuml Ü", "iexcl ¡", "iquest ¿",
+    )
 )
+# What follows the ampersand of a character reference.
+REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+# Elements without an end tag.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<head[^>]*>.*?</head>"
 
 
 def unescape(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Character references read once: by number, decimal or hexadecimal, and by the published names.
+
+    A number that is no character gives the replacement character; an unknown
+    name stays as it is.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def after_mark(piece: Column, i: Column) -> Column:
+        name = F.regexp_extract(piece, REFERENCE, 1)
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)).when(
+            name.startswith("#"), F.substring(name, F.lit(2), F.length(name))
+        )
+        number = digits.cast("bigint")
+        exists = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        written = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        found = F.when(number == 160, " ").when(exists, written).when(number.isNotNull(), "\ufffd").otherwise(
+            F.try_element_at(names, name)
+        )
+        rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+        return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece)))
+
+    return F.array_join(F.transform(F.split(text, "&"), after_mark), "")
 
 
 def strip_tags(html: Column) -> Column:
@@ -67,27 +99,52 @@ def page_links(pages: DataFrame, n: int | None = None) -> DataFrame:
     return each_at(pages, links, "pos", "link", "page_id")
 
 
-def paragraphs(html: Column) -> Column:
-    """Text of each paragraph; an unclosed one ends where the next begins."""
+def _opened(html: Column) -> Column:
+    """What follows the start of each paragraph, up to the start of the next; its end is marked."""
     visible = F.regexp_replace(html, HIDDEN, " ")
     marked = F.regexp_replace(visible, r"(?i)<p(\s[^>]*)?>", _OPEN)
     marked = F.regexp_replace(marked, r"(?i)</p>", _CLOSE)
     pieces = F.split(marked, _OPEN)
-    opened = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(opened, lambda p: strip_tags(F.element_at(F.split(p, _CLOSE), 1)))
+    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
+def _paragraph(piece: Column) -> Column:
+    return strip_tags(F.split_part(piece, F.lit(_CLOSE), F.lit(1)))
+
+
+def paragraphs(html: Column) -> Column:
+    """Text of each paragraph; an unclosed one ends where the next begins."""
+    return F.transform(_opened(html), _paragraph)
+
+
+def next_sibling(pieces: Column, i: Column) -> Column:
+    """Text of the node after the i-th paragraph: text that follows it, an element, or the next paragraph.
+
+    Null where the parent ends first. An element is read up to its end tag or
+    the next paragraph; one without an end tag has no text.
+    """
+    piece = F.get(pieces, i)
+    after = F.substring(piece, F.length(F.split_part(piece, F.lit(_CLOSE), F.lit(1))) + 2, F.length(piece))
+    lead = strip_tags(F.regexp_extract(after, "^[^<\\x02]*", 0))
+    rest = F.regexp_replace(after, r"^\s+", "")
+    tag = F.lower(F.regexp_extract(rest, "^<([A-Za-z][A-Za-z0-9]*)", 1))
+    body = F.split_part(F.lower(rest), F.concat(F.lit("</"), tag), F.lit(1))
+    element = F.when(tag.isin(*VOID), "").otherwise(strip_tags(F.substring(rest, F.lit(1), F.length(body))))
+    following = F.get(pieces, i + 1)
+    return F.when(lead != "", lead).when(rest == "", _paragraph(following)).when(tag != "", element)
 
 
 def page_glossary(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, term, description): each paragraph with the next one.
+    """(page_id, pos, term, description): each paragraph with the node that follows it.
 
-    The last paragraph of a page has no next one and is dropped. Neighbours are
-    paired inside the page's row, so nothing is windowed.
+    A paragraph without a next sibling is dropped. Neighbours are paired inside
+    the page's row, so nothing is windowed.
     """
-    pairs = tx.adjacent_pairs(F.col("ps"))
-    rows = pages.select("page_id", paragraphs(F.col("html")).alias("ps"))
-    return each_struct(rows, pairs, "first", "page_id").withColumnsRenamed(
-        {"first": "term", "second": "description"}
+    rows = pages.select("page_id", _opened(F.col("html")).alias("ps"))
+    pairs = F.transform(
+        "ps", lambda p, i: F.struct(i.alias("pos"), _paragraph(p).alias("term"), next_sibling(F.col("ps"), i).alias("description"))
     )
+    return each_struct(rows, F.filter(pairs, lambda x: x["description"].isNotNull()), "term", "page_id")
 
 
 def title_words(titles: DataFrame, key: str = "page_id", title: str = "title") -> DataFrame:

@@ -13,10 +13,28 @@ from corpuslab.sources.writers import article_name
 _HIDDEN = web.HIDDEN
 
 
+_NAMES = "map {" + ", ".join(f"'{k}': '{v.replace(chr(39), chr(39) * 2)}'" for k, v in web.NAMED.items()) + "}"
+_REF = f"regexp_extract(p, '{web.REFERENCE}', 1)"
+_CODE = (
+    f"CASE WHEN regexp_matches({_REF}, '^#[xX]') THEN CAST('0x' || substr({_REF}, 3) AS BIGINT)"
+    f" WHEN starts_with({_REF}, '#') THEN CAST(substr({_REF}, 2) AS BIGINT) END"
+)
+_CHARACTER = (
+    f"CASE WHEN {_CODE} IS NULL THEN {_NAMES}[{_REF}] WHEN {_CODE} = 160 THEN ' '"
+    f" WHEN {_CODE} BETWEEN 1 AND 55295 OR {_CODE} BETWEEN 57344 AND 1114111 THEN chr(CAST({_CODE} AS INTEGER))"
+    " ELSE chr(65533) END"
+)
+
+
+def _unescape(expr: str) -> str:
+    return (
+        f"array_to_string(list_transform(string_split({expr}, '&'), lambda p, i: CASE WHEN i = 1 THEN p"
+        f" ELSE coalesce({_CHARACTER} || substr(p, length({_REF}) + 2), '&' || p) END), '')"
+    )
+
+
 def _strip(expr: str) -> str:
-    out = f"regexp_replace({expr}, '<[^>]*>', ' ', 'g')"
-    for entity, character in web.ENTITIES:
-        out = f"replace({out}, '{entity}', '{character if character != chr(39) else chr(39) * 2}')"
+    out = _unescape(f"regexp_replace({expr}, '<[^>]*>', ' ', 'g')")
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
 
 
@@ -30,9 +48,18 @@ _PARAS = rf"""marked AS (SELECT page_id, regexp_replace(regexp_replace({_VISIBLE
                   '(?i)</p>', chr(2), 'g') AS h FROM pages),
     paras AS (SELECT page_id, generate_subscripts(ps, 1) - 1 AS pos, unnest(ps) AS p FROM (
         SELECT page_id, string_split(h, chr(1))[2:] AS ps FROM marked)),
-    texts AS (SELECT page_id, pos, {_strip("string_split(p, chr(2))[1]")} AS p FROM paras),
-    glossary AS (SELECT page_id, pos, p AS term, nxt AS description FROM (
-        SELECT *, lead(p) OVER (PARTITION BY page_id ORDER BY pos) AS nxt FROM texts) WHERE nxt IS NOT NULL)"""
+    texts AS (SELECT page_id, pos, {_strip("split_part(q, chr(2), 1)")} AS p, q,
+                     substr(q, length(split_part(q, chr(2), 1)) + 2) AS after
+              FROM (SELECT page_id, pos, p AS q FROM paras)),
+    behind AS (SELECT *, regexp_replace(after, '^\s+', '') AS rest,
+                      lead(p) OVER (PARTITION BY page_id ORDER BY pos) AS nxt FROM texts),
+    tagged AS (SELECT *, lower(regexp_extract(rest, '^<([A-Za-z][A-Za-z0-9]*)', 1)) AS tag,
+                      {_strip("regexp_extract(after, '^[^<' || chr(2) || ']*', 0)")} AS lead_text FROM behind),
+    siblings AS (SELECT page_id, pos, p AS term, CASE WHEN lead_text <> '' THEN lead_text WHEN rest = '' THEN nxt
+                     WHEN tag = '' THEN NULL WHEN tag IN ({", ".join(f"'{v}'" for v in web.VOID)}) THEN ''
+                     ELSE {_strip("substr(rest, 1, length(split_part(lower(rest), '</' || tag, 1)))")} END AS description
+                 FROM tagged),
+    glossary AS (SELECT * FROM siblings WHERE description IS NOT NULL)"""
 
 
 @query(
@@ -52,7 +79,7 @@ def page_glossary(spark, sf):
 @query(
     "next_element",
     f"""WITH {_PARAS} SELECT page_id, pos, md5(p) AS this, md5(coalesce(nxt, '')) AS following FROM (
-        SELECT *, lead(p) OVER (PARTITION BY page_id ORDER BY pos) AS nxt FROM texts)""",
+        SELECT page_id, pos, p, lead(p) OVER (PARTITION BY page_id ORDER BY pos) AS nxt FROM texts)""",
 )
 def next_element(spark, sf):
     """Every paragraph beside the next one; the last has an empty neighbour."""

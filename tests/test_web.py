@@ -20,8 +20,30 @@ def test_quotes(spark):
 
 def test_glossary_pairs_and_drops_last(spark):
     rows = web.page_glossary(pages(spark)).orderBy("page_id", "pos").collect()
-    assert [(r["page_id"], r["term"]) for r in rows] == [(1, "First"), (1, "Second bold")]
-    assert rows[1]["description"].startswith("Third <x>")
+    assert [(r["page_id"], r["term"], r["description"]) for r in rows] == [
+        (1, "First", "Second bold"), (1, "Second bold", "Third <x>"), (1, "Third <x>", "l0")
+    ]
+
+
+def test_any_next_sibling_is_paired(spark):
+    html = (
+        "<div><p>a</p> text &mdash; here <b>x</b><p>b</p>\n<div class='q'>an <i>element</i></div><p>c</p><br>after"
+        "<p>d<p>e</p></div><p>f</p> <!-- note --> <P id=1>g</P>\n"
+    )
+    rows = web.page_glossary(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("pos").collect()
+    assert [(r["pos"], r["term"], r["description"]) for r in rows] == [
+        (0, "a", "text — here"), (1, "b", "an element"), (2, "c", ""), (3, "d", "e"), (5, "f", "g")
+    ]
+
+
+def test_character_references(value):
+    said = {
+        "&mdash;&#8217;&#x2019;&#X1F600;": "—’’😀", "a &amp;lt; b": "a &lt; b", "&nbsp;|&#160;|": " | |", "&unknown; & &; &#;": "&unknown; & &; &#;",
+        "&#0;&#55296;&#9999999;": "\ufffd" * 3, "&eacute;t&eacute;&ETH": "été&ETH", "": "", "&&amp;": "&&",
+    }
+    for text, want in said.items():
+        assert value(web.unescape, text) == want
+    assert value(web.unescape, None) is None
 
 
 def test_text_hides_scripts(spark):
