@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions import text as tx
 from corpuslab.functions.stem import stem_words
 from corpuslab.functions.words import ENGLISH_STOP_WORDS
+from corpuslab.operators import rewrite
 from corpuslab.operators.unnest import each, each_at
 from corpuslab.session import lookup
 
@@ -64,9 +65,13 @@ def map_words(
 ) -> DataFrame:
     """Replace words by ``mapping`` (word, lemma), keeping their order.
 
-    ``mapping`` holds only words that change, so it is a lookup table. The
+    ``mapping`` holds only words that change; while it is small, arrays are
+    rewritten inside their rows. Beyond that words meet it by a join, and the
     regrouping is by row of origin: a group is never larger than one row.
     """
+    mapping, table = rewrite.whole(mapping.select("word", "lemma"))
+    if table is not None:
+        return rewrite.replaced(rows, table, keys, words)
     single = rows.select(*keys, F.posexplode_outer(words).alias("pos", "word"))
     mapped = single.join(lookup(mapping), "word", "left").select(
         *keys, "pos", F.coalesce("lemma", "word").alias("word")

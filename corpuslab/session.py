@@ -135,6 +135,13 @@ def _cell_bytes(name: str, kind: str) -> Column:
     return F.lit(16)
 
 
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written, and the bytes of its rows."""
+    written = cut_lineage(df)
+    row = sum((F.coalesce(_cell_bytes(n, t), F.lit(0)) for n, t in written.dtypes), F.lit(16))
+    return written, written.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
 def lookup(df: DataFrame) -> DataFrame:
     """A table that single words or pairs are looked up in.
 
@@ -142,7 +149,5 @@ def lookup(df: DataFrame) -> DataFrame:
     marked for broadcast, so the rows that look words up are not shuffled by
     word at all; above it Spark joins by shuffle and splits hot words.
     """
-    written = cut_lineage(df)
-    row = sum((F.coalesce(_cell_bytes(n, t), F.lit(0)) for n, t in written.dtypes), F.lit(16))
-    size = written.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    written, size = measured(df)
     return F.broadcast(written) if size <= BROADCAST_BYTES else written
