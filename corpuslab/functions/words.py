@@ -32,7 +32,7 @@ MASK_WORD = "qwerty"
 IRREGULAR_NOUNS = dict(
     pair.split()
     for pair in """
-    men man, women woman, mice mouse, lice louse, feet foot, teeth tooth, geese goose, children child, oxen ox, people people,
+    mice mouse, lice louse, feet foot, teeth tooth, geese goose, children child, oxen ox, people people,
     brethren brother, dice die, criteria criterion, phenomena phenomenon, data datum, media medium, strata stratum,
     bacteria bacterium, curricula curriculum, memoranda memorandum, errata erratum, indices index, matrices matrix,
     vertices vertex, vortices vortex, appendices appendix, analyses analysis, theses thesis, crises crisis,

