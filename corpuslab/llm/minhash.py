@@ -34,6 +34,7 @@ from corpuslab.llm.graph import components
 from corpuslab.llm.store import keep
 from corpuslab.session import lookup
 
+SLICE_BYTES = (1 << 19) - 64  # of text that a worker holds hashes of at once
 BUCKETS = 1 << 18  # of words, for document frequencies: a table of fixed size
 
 
@@ -50,7 +51,7 @@ class Settings:
     agree: int = 34
     hubs: int = 8
     block: int = 512
-    block_bytes: int = 400 << 10
+    block_bytes: int = 200 << 10
 
     @property
     def samples(self) -> int:
@@ -64,7 +65,7 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts that hold a word of each bucket, one sum per task."""
     total, texts = np.zeros(BUCKETS, np.int64), 0
-    for batch in hx.slices(batches, "text"):
+    for batch in hx.slices(batches, "text", SLICE_BYTES):
         words = hx.Words(batch.column("text"))
         pairs = np.unique(words.text_of() * BUCKETS + _buckets(words.hashes()))
         total += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
@@ -144,7 +145,7 @@ def signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, tables
 def _signer(idf, s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(s.samples)
-        for batch in hx.slices(batches, "text"):
+        for batch in hx.slices(batches, "text", SLICE_BYTES):
             words = hx.Words(batch.column("text"))
             text, shingle, weight = weighted_shingles(words, idf.value, s.words)
             signed = signatures(text, shingle, weight, tables)
@@ -182,7 +183,7 @@ def _compared(idf, size: int):
             ends = sum(hx.flat(batch.column(c))[1][1:] for c in ("ta", "tb"))
             at = 0
             while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + hx.SLICE_BYTES, side="right")))
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right")))
                 part = batch.slice(at, to - at)
                 found = similarity(part.column("ta"), part.column("tb"), idf.value, size)
                 yield pa.record_batch({"a": part.column("a"), "b": part.column("b"), "similarity": pa.array(found)})
