@@ -76,6 +76,10 @@ def _new_table(spark: SparkSession) -> str:
     return path
 
 
+# Estimated bytes of a bucket, from which on there are as many buckets as shuffle partitions.
+BUCKET_BYTES = 32 << 20
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` written in the shared checkpoint folder, in buckets of ``key``.
 
@@ -84,7 +88,10 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     the table is read back by bucket, and nothing is shuffled by key again.
     """
     spark = df.sparkSession
-    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the planner's estimate of the bytes only says how many buckets are worth opening
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    most, cores = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    number = min(most, max(cores, size // BUCKET_BYTES))
     name = f"corpuslab_{uuid.uuid4().hex}"
     placed = df.repartition(number, key).write.bucketBy(number, key).option("path", _new_table(spark))
     placed.saveAsTable(name)
