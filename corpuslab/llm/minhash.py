@@ -301,19 +301,17 @@ def _block_links(members: DataFrame, compare: _Comparer, roots: DataFrame, idf,
         return F.greatest(F.ceil(count / s.block), F.ceil(size / s.block_bytes), F.lit(1)).cast("int")
 
     cuts = rows.groupBy("key").agg(blocks(F.col("left")).alias("lefts"), blocks(F.lit(True)).alias("alls"))
-    placed = rows.join(cuts, "key")
-    asking = placed.filter("left").select(
-        "key", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int").alias("low"),
-        F.explode(F.sequence(F.lit(0), F.col("alls") - 1)).alias("high"), F.lit(True).alias("asks"), "node", "root", "left",
-    )
-    asked = placed.select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("low"),
-        F.pmod(F.xxhash64("node"), F.col("alls")).cast("int").alias("high"), F.lit(False).alias("asks"), "node", "root", "left",
-    )
+    placed = rows.join(cuts, "key").join(compare.samples, "node")
     pair = ["key", "low", "high"]
-    member = F.struct("asks", "node", "root", "left", "samples").alias("member")
-    met = asking.unionByName(asked).join(compare.samples, "node").select(*pair, member).groupBy(*pair).agg(
-        F.collect_list("member").alias("rows")
+
+    def packed(members: DataFrame, count: str, block: str, asks: bool) -> DataFrame:
+        """A row for each block of a bucket: members are packed first, so that whole blocks meet and no row of theirs is repeated."""
+        number = F.pmod(F.xxhash64("node"), F.col(count)).cast("int").alias(block)
+        member = F.struct(F.lit(asks).alias("asks"), "node", "root", "left", "samples").alias("member")
+        return members.select("key", number, member).groupBy("key", block).agg(F.collect_list("member").alias(f"{block}_rows"))
+
+    met = packed(placed.filter("left"), "lefts", "low", True).join(packed(placed, "alls", "high", False), "key").select(
+        *pair, F.concat("low_rows", "high_rows").alias("rows")
     )
     schema = "key long, low int, high int, asks boolean, node long, root long, left boolean"
     close = keep(met.mapInArrow(_agreeing(s), schema), "close")

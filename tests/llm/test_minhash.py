@@ -212,3 +212,18 @@ def test_components(spark, links, want):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.duplicate_groups(empty).count() == 0 and minhash.keep_first(empty).count() == 0
+
+
+def test_members_of_a_bucket_are_packed_before_blocks_meet(spark, monkeypatch):
+    """Blocks of a bucket are rows that meet; a member is not repeated for each block of the others."""
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(60)]
+    # alike enough to meet in a bucket, too different to be linked
+    texts = [" ".join(shared + [f"w{rng.randrange(10**9)}" for _ in range(14)]) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plans, keep = {}, minhash.keep
+    monkeypatch.setattr(minhash, "keep", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and keep(df, name))
+    few = minhash.duplicate_groups(docs, minhash.Settings(block=4, least=0.75)).collect()
+    assert "MapInArrow" in plans["close"] and "explode(sequence" not in plans["close"]
+    whole = minhash.duplicate_groups(docs, minhash.Settings(least=0.75)).collect()
+    assert {(r.doc_id, r.class_id) for r in few} == {(r.doc_id, r.class_id) for r in whole}
