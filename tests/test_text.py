@@ -133,3 +133,34 @@ def test_lemmas_keep_word_order(spark):
     lemmas = spark.createDataFrame([("cats", "cat")], "word string, lemma string")
     got = {r["sent_pos"]: r["words"] for r in tokens.map_words(rows, lemmas, ["doc_id", "sent_pos"]).collect()}
     assert got == {0: ["cat", "b", "cat", "a"], 1: []}
+
+
+STEMMED = (
+    "a by sky y yes saying toy yyy caresses ponies ties caress cats feed agreed plastered bled motoring sing conflated "
+    "troubled sized hopping tanned falling hissing fizzed failing filing happy relational conditional rational valenci "
+    "digitizer conformabli radicalli vietnamization operator feudalism decisiveness callousness formaliti sensibiliti "
+    "triplicate formative electriciti hopefulness revival allowance inference airliner gyroscopic adjustable irritant "
+    "replacement adoption union communism activate effective bowdlerize probate rate cease controll roll eed ing ed 2nd"
+).split()
+
+
+def test_stemming_a_batch_equals_the_expression(spark):
+    from corpuslab.functions.stem import stem_words
+    from corpuslab.operators import rewrite
+
+    rows = [(1, STEMMED, "p"), (2, None, "q"), (3, [], "r"), (4, STEMMED[:3], None)]
+    df = spark.createDataFrame(rows, "doc_id int, words array<string>, other string").repartition(3)
+    want = {r["doc_id"]: (r["words"], r["other"]) for r in df.withColumn("words", stem_words(F.col("words"))).collect()}
+    got = {r["doc_id"]: (r["words"], r["other"]) for r in rewrite.stemmed(df).collect()}
+    assert got == want and got[2][0] is None and got[3][0] == []
+
+
+def test_topic_words_stem_each_distinct_word_once(spark):
+    """The rules run over a batch's distinct words, not as expressions over every word of the text."""
+    from corpuslab.operators import latent, tokens
+
+    docs = spark.createDataFrame([(1, "running runs runner"), (2, None)], "doc_id int, text string")
+    for rows in (tokens.topic_words(docs), tokens.headline_words(docs), latent.query_words(docs, "doc_id")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "ational" not in plan
+        assert {r["doc_id"]: r["words"] for r in rows.collect()}[1][:2] == ["run", "run"]
