@@ -71,3 +71,40 @@ def test_no_word_above_the_floor_is_respelt(spark):
     assert frequent.count() > 100 and vectorising._corrections(spark, sf, bags, asked).count() == 0
     near = tokens.explode_words(asked.limit(1)).select(F.concat(F.col("word"), F.lit("q")).alias("word"))
     assert lexical.spell_candidates(near, frequent.withColumn("n", F.lit(1))).count() <= 1
+
+
+def test_buckets_rise_with_the_table_past_the_shuffle_partitions(spark, monkeypatch):
+    from corpuslab import session
+
+    monkeypatch.setattr(session, "BUCKET_BYTES", 1 << 10)
+    table = spark.range(3000).selectExpr("id AS doc_id")
+    kept = session.bucketed(table, "doc_id")
+    # a count per key reads the buckets in place
+    assert kept.groupBy("doc_id").count().rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(3000))
+
+
+def test_bucket_bytes_stay_bounded():
+    from corpuslab.session import BUCKET_BYTES, bucket_number
+
+    for size in (1 << 27, 1 << 30, 6 << 30, 60 << 30):
+        assert size / bucket_number(size, 12, 200) <= BUCKET_BYTES <= 8 << 20
+    assert bucket_number((1 << 63) - 1, 12, 200) == 200
+
+
+def test_lemmas_and_spelling_read_their_words_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(word):
+        seen.add(1)
+        return word
+
+    listed = spark.createDataFrame([("cats",), ("cat",), ("dogs",), ("feet",)], "word string")
+    words = listed.select(F.udf(counted)("word").alias("word"))
+    lemmas = lexical.lemma_table(words).collect()
+    assert seen.value == 4 and {(r.word, r.lemma) for r in lemmas} == {("cats", "cat"), ("feet", "foot")}
+    before = seen.value
+    vocab = words.filter("word <> 'feet'").withColumn("n", F.lit(1)).filter("word = 'cats'")
+    asked = spark.createDataFrame([("cast",), ("cat",)], "word string")
+    found = {r.word: r.correction for r in lexical.spell_candidates(asked, vocab).collect()}
+    assert found == {"cast": "cats", "cat": "cats"} and seen.value - before <= 8
