@@ -299,3 +299,31 @@ def test_matrix_product(spark):
         for r in latent.matrix_product(as_rows(a), as_rows(b), tile).collect():
             got[r["i"], r["j"]] = r["value"]
         assert np.allclose(got, a @ b)
+
+
+def test_word_vectors_past_the_broadcast_are_sent_to_their_documents(spark, monkeypatch):
+    """A table too large for the driver: same rows, and nothing of it is broadcast."""
+    from corpuslab.operators import postings
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    listed = [(i % 30 if i % 7 else None, [rng.choice(words) for _ in range(rng.randint(0, 25))]) for i in range(60)]
+    rows = spark.createDataFrame([*listed, (99, []), (98, None)], "doc_id long, words array<string>")
+    table = spark.createDataFrame([(w, [rng.gauss(0, 1) for _ in range(5)]) for w in words[:30]], "word string, vector array<double>")
+    idf = spark.createDataFrame([(w, rng.random()) for w in words[10:]], "word string, idf double")
+
+    def said(bags):
+        found = [vectors.mean_word_vectors(bags, table, 5), vectors.weighted_word_vectors(bags, table, idf, 5)]
+        return found, [
+            sorted((str(r.doc_id), r.known, r.total, [round(x, 9) + 0.0 for x in r.vector]) for r in df.collect()) for df in found
+        ]
+
+    both = (rows, postings.bags(rows))
+    want = [said(bags)[1] for bags in both]
+    monkeypatch.setattr(vectors, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(vectors, "GROUP_ROWS", 50)
+    monkeypatch.setattr(vectors, "_CELLS", 35)
+    for bags, expected in zip(both, want):
+        found, got = said(bags)
+        assert got == expected
+        assert "FlatMapCoGroupsInArrow" in found[0]._jdf.queryExecution().optimizedPlan().toString()
