@@ -309,7 +309,8 @@ def test_word_vectors_past_the_broadcast_are_sent_to_their_documents(spark, monk
     words = [f"w{i}" for i in range(40)]
     listed = [(i % 30 if i % 7 else None, [rng.choice(words) for _ in range(rng.randint(0, 25))]) for i in range(60)]
     rows = spark.createDataFrame([*listed, (99, []), (98, None)], "doc_id long, words array<string>")
-    table = spark.createDataFrame([(w, [rng.gauss(0, 1) for _ in range(5)]) for w in words[:30]], "word string, vector array<double>")
+    table = spark.createDataFrame([(w, [rng.gauss(0, 1) for _ in range(5)]) for w in [*words[:30], *words[:4]]] + [("w31", None), ("w1", None), ("w32", [1.0, None])],
+                                  "word string, vector array<double>")
     idf = spark.createDataFrame([(w, rng.random()) for w in words[10:]], "word string, idf double")
 
     def said(bags):
@@ -322,8 +323,31 @@ def test_word_vectors_past_the_broadcast_are_sent_to_their_documents(spark, monk
     want = [said(bags)[1] for bags in both]
     monkeypatch.setattr(vectors, "WHOLE_BYTES", 0)
     monkeypatch.setattr(vectors, "GROUP_ROWS", 50)
-    monkeypatch.setattr(vectors, "_CELLS", 35)
+    monkeypatch.setattr(vectors, "CELLS", 35)
     for bags, expected in zip(both, want):
         found, got = said(bags)
         assert got == expected
         assert "FlatMapCoGroupsInArrow" in found[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matrix_product_of_many_pieces_sums_in_groups_of_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    left = [(rng.choice([None, *range(12)]), f"k{rng.randrange(9)}", rng.gauss(0, 1)) for _ in range(150)]
+    left += [(1, None, 1.0), (50, "k1", None), (51, "nowhere", 1.0)]
+    right = [(f"k{rng.randrange(9)}", rng.randrange(11), rng.gauss(0, 1)) for _ in range(40)] + [(None, 1, 1.0), ("k2", 3, None)]
+    a = spark.createDataFrame(left, "i long, j string, value double")
+    b = spark.createDataFrame(right, "i string, j long, value double")
+
+    def said(df):
+        return sorted((str(r.i), r.j, round(r.value, 9) + 0.0) for r in df.collect())
+
+    plain = latent.matrix_product(a, b).filter("value IS NOT NULL")
+    want = said(plain)
+    few = latent.matrix_product(a, b, tile=4)
+    assert said(few) == want and "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(vectors, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(vectors, "GROUP_ROWS", 20)
+    monkeypatch.setattr(vectors, "CELLS", 12)
+    many = latent.matrix_product(a, b, tile=4)
+    assert said(many) == want
+    assert "FlatMapCoGroupsInArrow" in many._jdf.queryExecution().optimizedPlan().toString()
