@@ -114,3 +114,21 @@ def test_long_heads_are_cut_by_position(spark, monkeypatch):
     assert [(-r["n"], r["id"]) for r in got] == want
     for n in (3, 1000, 5000):  # ordered whatever the size
         assert [r["id"] for r in ordering.head(df, n, "id").collect()] == list(range(min(n, 1000)))
+
+
+def test_counts_equal_those_of_spark_and_ask_the_driver_for_no_single_word(spark, themed, monkeypatch):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    words = sorted(THEMES[0] + THEMES[1][:3])
+    some = [(1, 0, ["apple", "zebra", "apple", None, "car"]), (2, 0, []), (3, 0, ["zebra"])]
+    rows = themed.unionByName(spark.createDataFrame(some, themed.schema)).repartition(3)
+    for binary in (False, True):
+        plain = CountVectorizerModel.from_vocabulary(words, inputCol="words", outputCol="features")
+        want = {r.doc_id: r.features for r in plain.setBinary(binary).setMinTF(1.0).transform(rows).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(CountVectorizerModel, "from_vocabulary", None)
+            got = topics.counter(words, binary).transform(rows)
+            assert {r.doc_id: r.features for r in got.collect()} == want
+    assert topics.counter([]).transform(rows).first().features.size == 0
+    weighed = topics.idf_weigher(words, {w: 2.0 for w in words}).transform(rows).select("features").collect()
+    assert {round(r.features.norm(2), 9) for r in weighed} == {0.0, 1.0}
