@@ -3,7 +3,8 @@
 Every stage takes and returns whole documents (all columns); the last returns
 the pieces of the packed sequences. A stage's rows are written as Parquet and
 read again by the next, so that no stage is computed twice and a lost executor
-costs only the tasks it ran.
+costs only the tasks it ran. Stages that run Python bound the bytes of the
+session's Arrow batches, which hold whole documents.
 """
 
 from __future__ import annotations
@@ -21,21 +22,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least id."""
+    store.bound_batches(spark)
     return minhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    store.bound_batches(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
+    store.bound_batches(spark)
     return pii.mask(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents and their places in sequences of 2048."""
+    store.bound_batches(spark)
     return packing.pack(packing.pieces(docs, tokenizer_path()))
 
 

@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -201,14 +200,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Overlap = Over
 
 
 def _clean(bank):
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pa.Array) -> pa.Array:
         out = np.ones(len(texts), bool)
-        batch = pa.record_batch([pa.array(texts, pa.string()), pa.array(np.arange(len(texts)))], names=["text", "at"])
+        batch = pa.record_batch([texts, pa.array(np.arange(len(texts)))], names=["text", "at"])
         for part in hx.slices(iter([batch]), "text"):
             words = hx.Words(part.column("text"), hx.NOT_ALNUM)
             base = part.column("at")[0].as_py()
             for text, *_ in bank.value.compare(words.hashes(), words.first):
                 out[base + text] = False
-        return pd.Series(out)
+        return pa.array(out)
 
-    return F.pandas_udf(run, "boolean")
+    return F.arrow_udf(run, "boolean")

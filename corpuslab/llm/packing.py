@@ -27,13 +27,15 @@ CAPACITY = 2048
 PARTITION_ROWS = 50_000
 ROUNDS = 8
 
+SLICE_BYTES = 1 << 19  # of text that a worker encodes at once, besides the words it remembers
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(tokenizer: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer)
-        for batch in hx.slices(batches, "text", 4 << 20):
+        for batch in hx.slices(batches, "text", SLICE_BYTES):
             ids, bounds = encoder.with_end(batch.column("text"), end_id)
             lengths = np.diff(bounds)
             parts = -(-lengths // capacity)
@@ -48,6 +50,8 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
                 "piece": pa.array(piece.astype(np.int32)), "start": pa.array(start), "length": pa.array(size),
                 "ids_crc32": pa.array(crc, pa.int64()),
             })
+        # the worker waits for its next task meanwhile
+        pa.default_memory_pool().release_unused()
 
     return run
 

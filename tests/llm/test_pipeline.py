@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -92,3 +93,22 @@ def test_nulls_and_empty_tables(spark):
             docs = stage(spark, docs, SF)
             assert (docs.count() > 0) == some, name
 
+
+def test_python_gets_batches_of_bounded_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had = spark.conf.get(key)
+    row = "doc_id", "repeat('stone ', 1600) AS text"
+    docs = spark.range(0, 3000, 1, 1).withColumnRenamed("id", "doc_id").selectExpr(*row)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"bytes": pa.array([batch.nbytes])})
+
+    try:
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            spark.conf.set(key, "64m")
+            stage(spark, docs.limit(3), SF)
+            seen = docs.mapInArrow(sizes, "bytes long").agg({"bytes": "max"}).first()[0]
+            assert seen <= store.BATCH_BYTES + 2 * 9600, name
+    finally:
+        spark.conf.set(key, had)
