@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents and their places in sequences of 2048."""
     store.bound_batches(spark)
-    return packing.pack(packing.pieces(docs, tokenizer_path()))
+    return packing.pack(packing.pieces(docs, tokenizer_path(), slice_bytes=1 << 19))
 
 
 STAGES = [
